@@ -7,6 +7,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from finlake import Lake, backfill, ingest, refresh_gold, run_day
 from finlake.operators import explore, maintenance, summaries
 from finlake.operators.reports import REPORTS
-from finlake.sources.lake import materialize, path_exists, read_table
+from finlake.sources.lake import materialize, read_table
 from finlake.sources.daily_csv import day_path
 from fixture_views import (
     LAKE_SPECS,
@@ -40,7 +41,7 @@ PRODUCT = "Brand#23"
 # Views of these two are read by the write queries as well as by their oracles.
 RESTATED_DAY = f"""
     select date '{DAY}' as data_venda, produto_id, filial_id, sum(quantidade) as quantidade,
-           sum(valor_unitario) as valor_unitario
+           cast(sum(valor_unitario) as decimal(18,2)) as valor_unitario
     from sales group by produto_id, filial_id
     union all
     select date '{NEXT_DAY}', produto_id, 'LATE', count(*), max(valor_unitario)
@@ -64,7 +65,7 @@ ORDERS_BATCH = """
     where o.o_orderstatus = 'P'
     group by o.o_orderkey, o.o_orderpriority
     union all
-    select -c_custkey, 'N', c_acctbal, c_mktsegment, date '1995-01-01' from {customer}
+    select -1 - c_custkey, 'N', c_acctbal, c_mktsegment, date '1995-01-01' from {customer}
     union all
     select null, 'X', cast(n_nationkey as double), n_name, date '1996-01-01' from {nation}
 """
@@ -156,18 +157,21 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_lake(spark: SparkSession, sf_dir: str, *names: str) -> tuple[Lake, list[date]]:
     """Raw files of some sources for every day of the test tables (header only where empty)."""
     lake = _fresh_lake(spark)
-    days: set[date] = set()
-    for name in names:
+
+    def write(name: str) -> set[date]:
         spec = LAKE_SPECS[name]
         rows = materialize(view(spark, sf_dir, LAKE_VIEWS[name]), f"{lake.bronze}/rows/{name}")
-        days |= {row[0] for row in rows.select(spec.date_col).distinct().collect()}
         write_files(rows, lake, name)
-    for name in names:
+        return {row[0] for row in rows.select(spec.date_col).distinct().collect()}
+
+    with ThreadPoolExecutor(len(names)) as pool:
+        written = dict(zip(names, pool.map(write, names)))
+    days = set().union(*written.values())
+    for name, own in written.items():
         spec = LAKE_SPECS[name]
-        for day in days:
-            if not path_exists(spark, day_path(lake, spec, day)):
-                empty = spark.createDataFrame([], spec.struct()).coalesce(1)
-                empty.write.option("header", True).csv(day_path(lake, spec, day))
+        for day in days - own:
+            empty = spark.createDataFrame([], spec.struct()).coalesce(1)
+            empty.write.option("header", True).csv(day_path(lake, spec, day))
     return lake, sorted(days)
 
 

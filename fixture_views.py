@@ -7,6 +7,7 @@ summary has rows even in the smallest data set.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,9 +111,17 @@ def with_views(sql: str, *views: str) -> str:
     return f"with {ctes}\n{sql}" if ctes else sql
 
 
+@cache
+def _table(application: str, sf_dir: str, name: str) -> DataFrame:
+    """One relation per table and application, so its footer is read once."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def run_sql(spark: SparkSession, sf_dir: str, sql: str, *views: str) -> DataFrame:
-    tables = {name: f"parquet.`{sf_dir}/{name}.parquet`" for name in TABLES}
-    return spark.sql(with_views(sql, *views).format(**tables))
+    text = with_views(sql, *views)
+    application = spark.sparkContext.applicationId
+    used = [name for name in TABLES if f"{{{name}}}" in text]
+    return spark.sql(text, **{name: _table(application, sf_dir, name) for name in used})
 
 
 def oracle(sql: str, *views: str) -> str:
