@@ -1,0 +1,212 @@
+import random
+from collections import Counter
+from datetime import date, timedelta
+
+import pytest
+
+from finlake.operators import maintenance as m
+from finlake.sources.lake import read_table, table_exists
+
+from conftest import bag
+
+SCHEMA = "id string, day date, amount int"
+A, B, C = "2025-04-15", "2025-04-16", "2025-04-17"
+
+
+@pytest.fixture
+def table(tmp_path, frame):
+    path = str(tmp_path / "silver" / "table")
+
+    def fill(rows):
+        m.create(frame(rows, SCHEMA), path, "day")
+        return path
+
+    return fill
+
+
+def rows_of(spark, path, evolved=False):
+    return bag(read_table(spark, path, "day", evolved=evolved).select("id", "day", "amount"))
+
+
+def as_bag(frame, rows):
+    return bag(frame(rows, SCHEMA))
+
+
+def test_exists(spark, table, tmp_path):
+    assert not table_exists(spark, str(tmp_path / "nothing"))
+    assert table_exists(spark, table([("a", A, 1)]), complete=True)
+
+
+def test_unfinished_build_is_not_complete(spark, table, tmp_path):
+    path = table([("a", A, 1)])
+    (tmp_path / "silver" / "table" / "_SUCCESS").unlink()
+    assert table_exists(spark, path)
+    assert not table_exists(spark, path, complete=True)
+
+
+def test_empty_table_keeps_its_columns(spark, table, frame):
+    path = table([])
+    assert table_exists(spark, path, complete=True)
+    assert read_table(spark, path, "day").dtypes == [
+        ("id", "string"),
+        ("amount", "int"),
+        ("day", "date"),
+    ]
+    m.upsert(spark, path, frame([("a", A, 1)], SCHEMA), "id", "day")
+    assert rows_of(spark, path) == as_bag(frame, [("a", A, 1)])
+
+
+def test_delete_day_spares_rows_without_a_date(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2), ("c", None, 3)])
+    m.delete_day(spark, path, "day", A)
+    assert rows_of(spark, path) == as_bag(frame, [("b", B, 2), ("c", None, 3)])
+    m.delete_day(spark, path, "day", C)
+    m.delete_day(spark, path, "day", B)
+    assert rows_of(spark, path) == as_bag(frame, [("c", None, 3)])
+
+
+@pytest.mark.parametrize("day", ["2025-4-15", "20250415", "2025-02-30", "x"])
+def test_malformed_day_is_refused(spark, table, day):
+    path = table([("a", A, 1)])
+    with pytest.raises(ValueError):
+        m.delete_day(spark, path, "day", day)
+
+
+def test_append_adds_columns_and_keeps_types(spark, table, frame):
+    path = table([("a", A, 1)])
+    batch = frame([("b", B, 2, "new")], "ID string, day date, amount bigint, note string")
+    m.append(batch, path, "day")
+    m.append(frame([("c", C)], "id string, day date"), path, "day")
+    stored = read_table(spark, path, "day", evolved=True)
+    assert dict(stored.dtypes) == {"id": "string", "amount": "int", "note": "string", "day": "date"}
+    assert {r.id: (r.amount, r.note) for r in stored.collect()} == {
+        "a": (1, None),
+        "b": (2, "new"),
+        "c": (None, None),
+    }
+
+
+def test_replace_day_twice_is_once(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2), ("n", None, 0)])
+    batch = frame([("x", A, 7), ("y", A, 8)], SCHEMA)
+    for _ in range(2):
+        counts = m.replace_days(batch, path, "day", A)
+        assert counts == {"replaced": 2, "stray": 0}
+        assert rows_of(spark, path) == as_bag(
+            frame, [("x", A, 7), ("y", A, 8), ("b", B, 2), ("n", None, 0)]
+        )
+
+
+def test_replace_day_appends_strays(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2), ("n", None, 0)])
+    batch = frame([("x", A, 7), ("s", B, 8), ("m", None, 9), ("t", C, 1)], SCHEMA)
+    assert m.replace_days(batch, path, "day", A) == {"replaced": 1, "stray": 3}
+    assert rows_of(spark, path) == as_bag(
+        frame,
+        [("x", A, 7), ("b", B, 2), ("s", B, 8), ("n", None, 0), ("m", None, 9), ("t", C, 1)],
+    )
+
+
+def test_empty_batch_empties_the_day(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2)])
+    m.replace_days(frame([], SCHEMA), path, "day", A)
+    assert rows_of(spark, path) == as_bag(frame, [("b", B, 2)])
+
+
+def test_replace_many_days(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2), ("c", C, 3)])
+    m.replace_days(frame([("x", C, 9)], SCHEMA), path, "day", [C, A], order=("id",))
+    assert rows_of(spark, path) == as_bag(frame, [("b", B, 2), ("x", C, 9)])
+
+
+def test_upsert_rules(spark, table, frame):
+    path = table([("a", A, 1), ("b", A, 2), ("b", B, 3), (None, A, 4), ("c", None, 5)])
+    batch = frame(
+        [("a", A, 10), ("b", A, 20), (None, A, 40), ("c", B, 50), ("d", C, 60), ("d", C, 61)],
+        SCHEMA,
+    )
+    m.upsert(spark, path, batch, "id", "day")
+    assert rows_of(spark, path) == as_bag(
+        frame,
+        [
+            ("a", A, 10),
+            ("b", A, 20),
+            ("b", A, 20),
+            (None, A, 4),
+            (None, A, 40),
+            ("c", B, 50),
+            ("d", C, 60),
+            ("d", C, 61),
+        ],
+    )
+
+
+def test_upsert_twice_is_once(spark, table, frame):
+    path = table([("a", A, 1), ("b", B, 2)])
+    batch = frame([("a", C, 10), ("z", A, 3)], SCHEMA)
+    m.upsert(spark, path, batch, "id", "day")
+    once = rows_of(spark, path)
+    assert once == as_bag(frame, [("a", C, 10), ("b", B, 2), ("z", A, 3)])
+    m.upsert(spark, path, batch, "id", "day")
+    assert rows_of(spark, path) == once
+
+
+def test_upsert_touches_only_days_with_a_match(spark, table, frame, tmp_path):
+    path = table([("a", A, 1), ("b", B, 2)])
+    day_b = tmp_path / "silver" / "table" / f"day={B}"
+    before = set(day_b.iterdir())
+    m.upsert(spark, path, frame([("a", A, 9), ("n", B, 3)], SCHEMA), "id", "day")
+    assert before < set(day_b.iterdir())
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["table"]
+
+
+def test_upsert_refuses_two_rows_for_one_stored_id(spark, table, frame):
+    path = table([("a", A, 1)])
+    with pytest.raises(m.UpsertConflict):
+        m.upsert(spark, path, frame([("a", A, 2), ("a", A, 3)], SCHEMA), "id", "day")
+    assert rows_of(spark, path) == as_bag(frame, [("a", A, 1)])
+
+
+def test_upsert_columns(spark, table, frame):
+    path = table([("a", A, 1)])
+    wider = frame([("a", A, 2, "x")], "id string, day date, amount int, note string")
+    m.upsert(spark, path, wider, "id", "day")
+    assert "note" not in read_table(spark, path, "day", evolved=True).columns
+    with pytest.raises(ValueError, match="amount"):
+        m.upsert(spark, path, frame([("a", A)], "id string, day date"), "id", "day")
+
+
+def merged(stored, batch):
+    """Upsert on Python lists: the rules of the table, one row at a time."""
+    by_id = {}
+    for row in batch:
+        by_id.setdefault(row[0], []).append(row)
+    known = {row[0] for row in stored if row[0] is not None}
+    if any(len(by_id.get(i, [])) > 1 for i in known):
+        return None
+    kept = [by_id[r[0]][0] if r[0] is not None and r[0] in by_id else r for r in stored]
+    return kept + [row for row in batch if row[0] is None or row[0] not in known]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_upserts_equal_the_model(spark, table, frame, seed):
+    pick = random.Random(seed)
+    days = [None] + [(date(2025, 4, 1) + timedelta(d)).isoformat() for d in range(4)]
+
+    def some(n, ids):
+        return [(pick.choice(ids), pick.choice(days), pick.randrange(100)) for _ in range(n)]
+
+    stored = some(12, [None, "a", "b", "c", "d"])
+    path = table(stored)
+    for _ in range(2):
+        batch = some(3, [None, "x", "y"]) + [
+            (i, pick.choice(days), pick.randrange(100)) for i in pick.sample("abcdefgh", 4)
+        ]
+        expected = merged(stored, batch)
+        if expected is None:
+            with pytest.raises(m.UpsertConflict):
+                m.upsert(spark, path, frame(batch, SCHEMA), "id", "day")
+            continue
+        m.upsert(spark, path, frame(batch, SCHEMA), "id", "day")
+        stored = expected
+        assert Counter(rows_of(spark, path)) == Counter(as_bag(frame, stored))
