@@ -154,7 +154,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pipeline --------------------------------------------------------------------
 
 
-def _raw_lake(spark: SparkSession, sf_dir: str, *names: str) -> tuple[Lake, list[date]]:
+def raw_lake(spark: SparkSession, sf_dir: str, *names: str) -> tuple[Lake, list[date]]:
     """Raw files of some sources for every day of the test tables (header only where empty)."""
     lake = _fresh_lake(spark)
 
@@ -176,7 +176,7 @@ def _raw_lake(spark: SparkSession, sf_dir: str, *names: str) -> tuple[Lake, list
 
 
 def csv_day_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, _ = _raw_lake(spark, sf_dir, "sales")
+    lake, _ = raw_lake(spark, sf_dir, "sales")
     spec = LAKE_SPECS["sales"]
     for day in (DAY, NEXT_DAY, DAY):
         ingest(spark, lake, spec, day)
@@ -199,7 +199,7 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.open_report(spark, lake, "products")
 
 
-def _all_reports(spark: SparkSession, lake: Lake) -> DataFrame:
+def all_reports(spark: SparkSession, lake: Lake) -> DataFrame:
     frames = [
         explore.open_report(spark, lake, name).select(
             F.lit(name).alias("report"),
@@ -214,16 +214,16 @@ def _all_reports(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def run_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, _ = _raw_lake(spark, sf_dir, *LAKE_SPECS)
+    lake, _ = raw_lake(spark, sf_dir, *LAKE_SPECS)
     for day in (DAY, NEXT_DAY):
         run_day(spark, lake, day, LAKE_SPECS)
-    return _all_reports(spark, lake)
+    return all_reports(spark, lake)
 
 
 def backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, days = _raw_lake(spark, sf_dir, *LAKE_SPECS)
+    lake, days = raw_lake(spark, sf_dir, *LAKE_SPECS)
     backfill(spark, lake, days, LAKE_SPECS)
-    return _all_reports(spark, lake)
+    return all_reports(spark, lake)
 
 
 # --- contract --------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Money sums that do not depend on the order in which rows arrive.
 
 Sums of doubles change with partitioning and task retries, which moves rounding
-ties. Amounts are therefore added as decimals and turned back into doubles, the
+ties. Amounts are therefore added as integers and turned back into doubles, the
 type of the stored tables, only after rounding.
 """
 
@@ -11,16 +11,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Six decimals hold every amount the sources carry; the sum of such a column is
-# decimal(32,6), which leaves twelve decimals to a division by decimal(20,0).
-MONEY = "decimal(22,6)"
 
+def exact_sum_sql(df: DataFrame, name: str) -> str:
+    """SQL for the exact sum of the named amount.
 
-def exact(df: DataFrame, name: str) -> Column:
-    """The named amount as a decimal; a column that is one already is left alone."""
-    if isinstance(df.select(name).schema[0].dataType, T.DecimalType):
-        return F.col(name)
-    return F.col(name).cast(MONEY)
+    A double is added as two integers, its whole part and its millionths. Up to
+    nine billion that is exact for six places (a larger double does not hold
+    them), and it costs no more than adding doubles. Other types are simply added up.
+    """
+    if not isinstance(df.select(name).schema[0].dataType, (T.DoubleType, T.FloatType)):
+        return f"sum({name})"
+    wholes = f"sum(floor({name}))"
+    millionths = f"sum(cast(rint(({name} - floor({name})) * 1e6) as bigint))"
+    return (
+        f"cast(cast({wholes} as decimal(20,0)) + cast({millionths} as decimal(20,0)) / 1000000"
+        " as decimal(32,6))"
+    )
+
+
+def exact_sum(df: DataFrame, name: str) -> Column:
+    return F.expr(exact_sum_sql(df, name))
 
 
 def rounded(amount: Column, places: int) -> Column:
@@ -29,5 +39,10 @@ def rounded(amount: Column, places: int) -> Column:
 
 
 def ratio(amount: Column, count: Column, places: int) -> Column:
-    """``amount / count`` rounded half-up; NULL where the count is zero."""
-    return rounded(F.try_divide(amount, count.cast("decimal(20,0)")), places)
+    """``amount / count`` rounded half-up; NULL where the count is zero.
+
+    The types leave twelve decimals to the quotient before it is rounded.
+    """
+    return rounded(
+        F.try_divide(amount.cast("decimal(32,6)"), count.cast("decimal(20,0)")), places
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.days import Day
-from finlake.functions.money import exact
+from finlake.functions.money import exact_sum
 from finlake.operators.reports import Report, get_report
 from finlake.sources.lake import Lake, read_table
 
@@ -61,10 +61,8 @@ def report_series(
     """
     measure = get_report(report).measure
     rows = filter_report(summary, report, branches, first, last, product)
-    kind = summary.schema[measure].dataType
-    value = exact(rows, measure) if kind.typeName() == "double" else F.col(measure)
-    total = F.coalesce(F.sum(value), F.lit(0))
-    if kind.typeName() == "double":
+    total = F.coalesce(exact_sum(rows, measure), F.lit(0))
+    if summary.schema[measure].dataType.typeName() == "double":
         total = total.cast("double")
     return rows.groupBy("CodigoData", "FilialId").agg(total.alias(measure))
 

@@ -239,12 +239,14 @@ def upsert(
         if any(row.copies > 1 for row in touched):
             raise UpsertConflict(f"several batch rows share a stored {id_col}")
 
-        matched_ids = hits.select(id_col).distinct()
+        matched_ids = hits.select(id_col)
         updates = batch.join(matched_ids, id_col, "left_semi").select(
             id_col, F.struct(*columns).alias("_new")
         )
         stays = F.col("_new").isNull() | F.col(f"_new.{date_col}").eqNullSafe(F.col(date_col))
-        additions = batch.join(matched_ids, id_col, "left_anti").select(*columns)
+        additions = batch
+        if touched:
+            additions = batch.join(matched_ids, id_col, "left_anti").select(*columns)
 
         losing = [row["_from"] for row in touched if row.leaving]
         emptied: set[date | None] = set()

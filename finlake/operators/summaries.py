@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.functions.money import MONEY, exact, ratio, rounded
+from finlake.functions.money import exact_sum, exact_sum_sql, ratio, rounded
 
 PRODUCT_KEYS = ["CodigoData", "ProdutoId", "FilialId"]
 FREIGHT_KEYS = ["CodigoData", "FilialId", "Transportadora"]
@@ -43,7 +43,7 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     The value is the sum of unit prices (not price times quantity), and the
     ticket is that sum over the sum of quantities.
     """
-    value = F.sum(exact(sales, "valor_unitario"))
+    value = exact_sum(sales, "valor_unitario")
     units = F.sum("quantidade")
     return _per_product(
         sales,
@@ -69,7 +69,7 @@ def freight_summary(freight: DataFrame) -> DataFrame:
         F.col("data_envio").alias("CodigoData"),
         F.col("filial_id").alias("FilialId"),
         F.col("transportadora").alias("Transportadora"),
-    ).agg(rounded(F.sum(exact(freight, "valor_frete")), 4).alias("TotalFretePago"))
+    ).agg(rounded(exact_sum(freight, "valor_frete"), 4).alias("TotalFretePago"))
 
 
 def freight_summary_sql(freight: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def freight_summary_sql(freight: DataFrame) -> DataFrame:
     return freight.sparkSession.sql(
         f"""
         SELECT data_envio AS CodigoData, filial_id AS FilialId, transportadora AS Transportadora,
-               CAST(ROUND(SUM(CAST(valor_frete AS {MONEY})), 4) AS DOUBLE) AS TotalFretePago
+               CAST(ROUND({exact_sum_sql(freight, "valor_frete")}, 4) AS DOUBLE) AS TotalFretePago
         FROM {{freight}}
         GROUP BY ALL
         ORDER BY CodigoData, FilialId, Transportadora
@@ -96,4 +96,4 @@ def tax_summary(taxes: DataFrame) -> DataFrame:
         F.col("data_pagamento").alias("CodigoData"),
         F.col("filial_id").alias("FilialId"),
         F.col("tipo_imposto").alias("TipoImposto"),
-    ).agg(rounded(F.sum(exact(taxes, "valor_pago")), 4).alias("TotalImpostoPago"))
+    ).agg(rounded(exact_sum(taxes, "valor_pago"), 4).alias("TotalImpostoPago"))

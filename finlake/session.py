@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", memory: str = "8g", conf: Mapping[str, str] | None = None
+) -> SparkSession:
     partitions = "8" if cpus == "*" else str(cpus)
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("finlake")
         .config("spark.driver.memory", memory)
@@ -16,7 +20,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", partitions)
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -11,8 +11,14 @@ from finlake.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, memory="4g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    # Hundreds of tiny jobs: compiling each plan would take longer than running it.
+    quick = {
+        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.shuffle.partitions": "2",
+    }
+    session = local_session(4, memory="4g", conf=quick)
     yield session
     session.stop()
 
