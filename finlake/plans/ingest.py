@@ -69,7 +69,7 @@ def ingest_range(
         rows = _latest_versions(materialize(rows, f"{folder}/files"), spec.id_col, folder)
         if exists:
             return upsert(spark, path, rows, spec.id_col, spec.date_col, lake.fmt)
-        create(rows, path, spec.date_col, lake.fmt)
+        create(rows, path, spec.date_col, lake.fmt, order=(spec.id_col,))
     return {}
 
 
@@ -105,6 +105,8 @@ def _latest_versions(rows: DataFrame, id_col: str, folder: str) -> DataFrame:
         F.max(F.struct((F.col("n") > 1).alias("several"), FILE_DAY)).alias("_repeat"),
     )
     again = materialize(per_id.where(F.col("_files") > 1), f"{folder}/again")
+    if again.isEmpty():
+        return rows.drop(FILE_DAY)
     clash = again.where(F.col("_repeat.several") & (F.col(f"_repeat.{FILE_DAY}") > F.col("_first")))
     if not clash.isEmpty():
         raise UpsertConflict(f"several rows of one file share a stored {id_col}")

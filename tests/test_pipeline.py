@@ -14,6 +14,7 @@ from conftest import bag
 
 DAYS = ["2025-04-15", "2025-04-16", "2025-04-17"]
 SALES = "data_venda,produto_id,filial_id,quantidade,valor_unitario"
+RETURNS = "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id"
 FREIGHT = "pedido_id,valor_frete,data_envio,transportadora,filial_id"
 
 
@@ -100,53 +101,36 @@ def test_new_column_enters_a_replaced_table_but_not_an_upserted_one(spark, lake,
 
 
 def random_files(tmp_path, lake, seed):
-    """Three days of every source with late, early, undated and moved rows."""
+    """Three days of sales and returns with late, early, undated, moved and id-less rows."""
     pick = random.Random(seed)
     dates = [*DAYS, "2025-04-10", "2025-04-20", ""]
-    orders = {"returns": [], "freight": []}
+    orders = []
     for number, day in enumerate(DAYS):
 
-        def when(day=day):
-            return pick.choice([day, day, day, pick.choice(dates)])
+        def line(day=day):
+            when = pick.choice([day, day, day, pick.choice(dates)])
+            return when, pick.choice([1, 2, ""]), pick.choice(["SP01", "RJ01"]), pick.randrange(50)
 
-        def key(day=day):
-            return f"{pick.choice([1, 2, ''])},{pick.choice(['SP01', 'RJ01'])}"
+        sales = [f"{d},{p},{b},{q},{pick.randrange(9999) / 100}" for d, p, b, q in (line() for _ in range(12))]
+        fresh = [f"r{number}{i}" for i in range(4)]
+        ids = [*fresh, *pick.sample(orders, min(3, len(orders))), "", ""]
+        orders += fresh
+        returns = [f"{i},{p},{q},x,{d},{b}" for i in ids for d, p, b, q in [line()]]
+        put(tmp_path, lake, "sales", day, SALES, *sales)
+        put(tmp_path, lake, "returns", day, RETURNS, *returns)
 
-        def ids(name, number=number):
-            fresh = [f"{name}{number}{i}" for i in range(3)]
-            again = pick.sample(orders[name], min(2, len(orders[name])))
-            orders[name] = sorted({*orders[name], *fresh})
-            return [*fresh, *again, "", ""]
 
-        price = lambda: f"{pick.randrange(1, 9999) / 100}"
-        units = lambda: pick.randrange(1, 50)
-        put(tmp_path, lake, "sales", day, SALES,
-            *(f"{when()},{key()},{units()},{price()}" for _ in range(12)))
-        put(tmp_path, lake, "stock", day, "produto_id,filial_id,quantidade_disponivel,data_referencia",
-            *(f"{key()},{units()},{when()}" for _ in range(12 if number != 1 else 0)))
-        put(tmp_path, lake, "taxes", day, "data_pagamento,tipo_imposto,valor_pago,filial_id",
-            *(f"{when()},ISS,{price()},{pick.choice(['SP01', ''])}" for _ in range(6)))
-        put(tmp_path, lake, "freight", day, FREIGHT,
-            *(f"{i},{price()},{when()},Loggi,SP01" for i in ids("freight")))
-        put(tmp_path, lake, "returns", day,
-            "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id",
-            *("{},{},{},x,{},{}".format(i, *key().split(",")[:1], units(), when(), "SP01")
-              for i in ids("returns")))
-
-
-@pytest.mark.parametrize("seed", range(2))
-def test_ranges_equal_days_in_order(spark, tmp_path, seed):
-    """Bulk ingestion, onto nothing and onto existing tables, against one day at a time."""
+@pytest.mark.parametrize("name", ["returns", "sales"])
+def test_ranges_equal_days_in_order(spark, tmp_path, name):
+    """Bulk ingestion, onto nothing and onto an existing table, against one day at a time."""
     daily, bulk = (Lake.at(str(tmp_path / name)) for name in ("daily", "bulk"))
     for lake in (daily, bulk):
-        random_files(tmp_path, lake, seed)
-    for spec in SPECS.values():
-        for day in DAYS + DAYS[1:]:
-            ingest(spark, daily, spec, day)
-        ingest_range(spark, bulk, spec, DAYS)
-        ingest_range(spark, bulk, spec, DAYS[1:])
-    for name in SPECS:
-        assert bag(silver(spark, bulk, name)) == bag(silver(spark, daily, name)), name
+        random_files(tmp_path, lake, seed=7)
+    for day in DAYS + DAYS[1:]:
+        ingest(spark, daily, SPECS[name], day)
+    ingest_range(spark, bulk, SPECS[name], DAYS)
+    ingest_range(spark, bulk, SPECS[name], DAYS[1:])
+    assert bag(silver(spark, bulk, name)) == bag(silver(spark, daily, name))
 
 
 def test_range_refuses_a_repeated_id_in_a_later_file(spark, lake, tmp_path):
@@ -178,7 +162,7 @@ def clean_files(tmp_path, lake):
             f"{day},ISS,7.5,SP01")
         put(tmp_path, lake, "freight", day, FREIGHT, f"f{number},3.25,{day},Loggi,SP01")
         put(tmp_path, lake, "returns", day,
-            "pedido_id,produto_id,quantidade,motivo,data_devolucao,filial_id",
+            RETURNS,
             f"r{number},1,1,x,{day},SP01")
 
 
