@@ -207,7 +207,8 @@ def upsert(
     if fmt == "delta":
         delta.upsert(spark, path, batch, id_col)
         return {}
-    target = read_table(spark, path, date_col)
+    # All columns of all files: days are rewritten below and must stay whole.
+    target = read_table(spark, path, date_col, evolved=True)
     columns = target.columns
     batch = conform(batch, target.schema, missing="error")
 

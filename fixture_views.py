@@ -22,12 +22,15 @@ _VIEWS = {
         (),
         """
         select cast(date_trunc('month', l.l_shipdate) as date) as dt,
-               p.p_brand as produto_id, r.r_name as filial_id, l.*
+               p.p_brand as produto_id, b.r_name as filial_id, l.*
         from {lineitem} l
         join {part} p on l.l_partkey = p.p_partkey
-        join {supplier} s on l.l_suppkey = s.s_suppkey
-        join {nation} n on s.s_nationkey = n.n_nationkey
-        join {region} r on n.n_regionkey = r.r_regionkey
+        join (
+            select s.s_suppkey, r.r_name
+            from {supplier} s
+            join {nation} n on s.s_nationkey = n.n_nationkey
+            join {region} r on n.n_regionkey = r.r_regionkey
+        ) b on l.l_suppkey = b.s_suppkey
         """,
     ),
     "sales": (

@@ -176,6 +176,15 @@ def test_upsert_columns(spark, table, frame):
         m.upsert(spark, path, frame([("a", A)], "id string, day date"), "id", "day")
 
 
+def test_upsert_keeps_columns_that_only_some_files_have(spark, table, frame):
+    path = table([("a", A, 1)])
+    wide = "id string, day date, amount int, note string"
+    m.append(frame([("b", A, 2, "x")], wide), path, "day")
+    m.upsert(spark, path, frame([("a", A, 3, "y")], wide), "id", "day")
+    stored = read_table(spark, path, "day", evolved=True).collect()
+    assert {(r.id, r.amount, r.note) for r in stored} == {("a", 3, "y"), ("b", 2, "x")}
+
+
 def merged(stored, batch):
     """Upsert on Python lists: the rules of the table, one row at a time."""
     by_id = {}
