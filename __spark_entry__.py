@@ -38,7 +38,7 @@ BRANCHES = ["ASIA", "EUROPE"]
 NATIONS = ["NATION_1", "NATION_12", "NATION_23"]
 PRODUCT = "Brand#23"
 
-# Views of these two are read by the write queries as well as by their oracles.
+# Batches and tables that the write queries and their SQL have in common.
 RESTATED_DAY = f"""
     select date '{DAY}' as data_venda, produto_id, filial_id, sum(quantidade) as quantidade,
            cast(sum(valor_unitario) as decimal(18,2)) as valor_unitario

@@ -45,14 +45,14 @@ def conform(
     if absent and missing == "error":
         raise ValueError(f"columns missing from the batch: {', '.join(absent)}")
     columns = [
-        (F.col(own[f.name.lower()]) if f.name.lower() in own else F.lit(None))
+        (F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None))
         .cast(f.dataType)
         .alias(f.name)
         for f in schema
     ]
     if extra:
         taken = {name.lower() for name in schema.fieldNames()}
-        columns += [F.col(name) for name in df.columns if name.lower() not in taken]
+        columns += [F.col(f"`{name}`") for name in df.columns if name.lower() not in taken]
     return df.select(*columns)
 
 

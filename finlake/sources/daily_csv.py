@@ -103,7 +103,11 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
 def _scan(
     spark: SparkSession, spec: SourceSpec, paths: list[str], header: tuple[str, ...]
 ) -> DataFrame:
-    """Files that share a header. Only columns the spec does not know are inferred."""
+    """Files that share a header.
+
+    Known columns take the names and types of the spec, whatever their order and
+    case in the file; only columns the spec does not know are inferred.
+    """
     declared = spec.struct()
     known = {} if declared is None else {f.name.lower(): f for f in declared}
     if not header:
@@ -121,7 +125,8 @@ def _scan(
         .option("mode", spec.csv_mode)
         .csv(paths)
     )
-    return files.select("*", F.col("_metadata.file_path").alias(FILE_DAY))
+    columns = [F.col(f"`{n}`").alias(f.name) for n, f in zip(header, fields)]
+    return files.select(*columns, F.col("_metadata.file_path").alias(FILE_DAY))
 
 
 def read_days(

@@ -50,12 +50,13 @@ def test_types_can_be_inferred(spark, lake, tmp_path):
     assert [kind for _, kind in batch.dtypes] == ["date", "int", "string", "int", "double"]
 
 
-def test_columns_may_come_in_any_order(spark, lake, tmp_path):
-    header = "Quantidade,filial_id,data_venda,produto_id,valor_unitario"
+def test_columns_may_come_in_any_order_and_case(spark, lake, tmp_path):
+    header = "Quantidade,filial_id,DATA_VENDA,produto_id,valor_unitario"
     put(tmp_path, lake, "sales", DAYS[0], header, f"7,SP01,{DAYS[0]},3,1.5")
-    ingest(spark, lake, SPECS["sales"], DAYS[0])
-    row = silver(spark, lake, "sales").first()
-    assert (row.Quantidade, row.produto_id, row.filial_id) == (7, 3, "SP01")
+    for _ in range(2):
+        ingest(spark, lake, SPECS["sales"], DAYS[0])
+        rows = silver(spark, lake, "sales").collect()
+        assert [(r.quantidade, r.produto_id, r.filial_id) for r in rows] == [(7, 3, "SP01")]
 
 
 def test_missing_file_raises_and_changes_nothing(spark, lake, tmp_path):
