@@ -20,6 +20,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", partitions)
+        # Small test tables, too, are to be written by all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
