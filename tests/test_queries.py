@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 
+#: The text-preparation queries have tests of their own.
+NAMES = [n for n in contract.queries() if not n.startswith("op") and n != "pipeline"]
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -20,7 +22,7 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert set(NAMES) <= contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 def test_entry(spark):
@@ -36,7 +38,7 @@ def test_entry(spark):
     ]
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, engine, name):
     result = contract.queries()[name](spark, SF_DIR).toArrow()
     columns = ", ".join(f'"{c}"' for c in sorted(result.column_names))
