@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,15 +107,23 @@ class Words:
         self.hashes = self._hash()
 
     def _hash(self) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
         sizes = self.ends - self.starts
+        out = np.zeros(len(sizes), np.uint64)
+        if not len(sizes):
+            return out
         with np.errstate(over="ignore"):
             powers = np.cumprod(np.full(int(sizes.max()), _BASE, np.uint64))
-            place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            kept = np.repeat(self.starts, sizes) + place
-            sums = np.add.reduceat(_SYMBOL[self.data[kept]] * powers[place], np.cumsum(sizes) - sizes)
-            return mixed(sums + sizes.astype(np.uint64))
+            upto = np.concatenate(([0], np.cumsum(sizes)))
+            begin = 0
+            while begin < len(sizes):  # a range of words at a time, for the sake of memory
+                end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + (1 << 19), "right")) - 1)
+                some = sizes[begin:end]
+                first = upto[begin:end] - upto[begin]
+                place = np.arange(int(some.sum())) - np.repeat(first, some)
+                symbols = _SYMBOL[self.data[np.repeat(self.starts[begin:end], some) + place]]
+                out[begin:end] = np.add.reduceat(symbols * powers[place], first)
+                begin = end
+            return mixed(out + sizes.astype(np.uint64))
 
     def text(self, i: int) -> str:
         return self.data[self.starts[i] : self.ends[i]].tobytes().decode()
@@ -131,14 +141,13 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def by_bytes(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Consecutive ranges of rows of at most so many bytes, or of a single row."""
-    ranges, begin, held = [], 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if held and held + size > most:
-            ranges.append((begin, i))
-            begin, held = i, 0
-        held += size + 1
-    if begin < len(sizes):
-        ranges.append((begin, len(sizes)))
-    return ranges
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in runs of about so many bytes of text, or of a single row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate(([0], np.cumsum(sizes.astype(np.int64) + 1)))
+        begin = 0
+        while begin < batch.num_rows:
+            end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + most, "right")) - 1)
+            yield batch.slice(begin, end - begin)
+            begin = end

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, token_counts
+from finlake.llm import byte_bpe, token_counts, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.token_counts(docs, tokenizer("word_bpe_49k.json"), limit=2048)
@@ -40,9 +52,39 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = rf"""
+    with d as (
+        select row_number() over () as r, doc_id,
+               regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from documents
+    ), i as (
+        select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+    ), windows as (
+        select distinct item_id, least(10, len(w)) as size, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') as g
+        from i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(p) where len(w) > 0
+    ), sizes as (select distinct size from windows), places as (
+        select r, size, p, array_to_string(w[p:p + size - 1], ' ') as g
+        from d, sizes, unnest(range(1, len(w) - size + 2)) t(p)
+    ), found as (select r, p, size, item_id from places join windows using (size, g)), covered as (
+        select r, count(distinct q) as n_hit from found, unnest(range(p, p + size)) t(q) group by r
+    ), named as (
+        select r, count(distinct item_id) as n_items,
+               string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as names
+        from found group by r
+    )
+    select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join covered using (r) left join named using (r)
+"""
+
 QUERIES = {
+    "op4_winnowing": op4_winnowing,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_winnowing": OP4_SQL,
+}
