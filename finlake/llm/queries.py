@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, token_counts, winnow
+from finlake.llm import byte_bpe, language, token_counts, toxicity, winnow
+from finlake.llm.common import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,23 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = held_out("doc_id", 5, 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~fold)
+    model = toxicity.fit(docs.where(~fold).join(labels, "doc_id"))
+    scored = docs.select("doc_id", fold.alias("held_out"), toxicity.score("text", model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = held_out("doc_id", 3, 1)
+    model = language.fit(docs.where(~fold))
+    found = docs.select("doc_id", fold.alias("held_out"), language.label("text", model, docs).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", F.size("found.spans").alias("n_spans"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -80,6 +98,8 @@ OP4_SQL = rf"""
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language": op2_language,
     "op4_winnowing": op4_winnowing,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
