@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from finlake.llm.common import slices
+
 NONE = 0xFFFFFFFF
-CHUNK_BYTES = 1 << 20
-BATCH_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 19
+BATCH_BYTES = 2 << 20
 CACHED = 300_000
 
 
@@ -179,6 +181,12 @@ def merges(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
 
+def _encoded(texts: pa.Array, pairs: BytePairs) -> Iterator[list[bytes]]:
+    """The ids of some texts after others, a bounded number of bytes at a time."""
+    for run in slices(iter([pa.record_batch({"text": texts})]), "text", BATCH_BYTES):
+        yield pairs.encode([text or "" for text in run.column("text").to_pylist()])
+
+
 def encode_ids(text: str | Column, path: str, pattern: str) -> Column:
     """The token ids of each whole text as binary: little-endian unsigned 32-bit integers."""
 
@@ -186,19 +194,26 @@ def encode_ids(text: str | Column, path: str, pattern: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pairs = merges(path, pattern)
         for texts in batches:
-            done: list[bytes] = []
-            group, held = [], 0
-            for text in texts.to_pylist():
-                group.append(text or "")
-                held += len(group[-1])
-                if held > BATCH_BYTES:
-                    done += pairs.encode(group)
-                    group, held = [], 0
-            yield pa.array(done + pairs.encode(group), pa.binary())
+            for ids in _encoded(texts, pairs):
+                yield pa.array(ids, pa.binary())
 
     return encode(text)
 
 
+def round_trip(text: str | Column, path: str, pattern: str) -> Column:
+    """A struct for each whole text: packed ``ids``, and ``decoded``, the bytes that these ids stand for."""
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pairs = merges(path, pattern)
+        for texts in batches:
+            for ids in _encoded(texts, pairs):
+                decoded = pa.array(map(pairs.decode, ids), pa.binary())
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+
+    return both(text)
+
+
 def decode_ids(ids: str | Column, path: str, pattern: str) -> Column:
     """The bytes that packed token ids stand for; null for null. An unknown id is an error."""
 

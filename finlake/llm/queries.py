@@ -60,13 +60,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rule = tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", byte_bpe.encode_ids("text", *rule).alias("ids"))
-    decoded = encoded.withColumn("decoded", byte_bpe.decode_ids("ids", *rule))
-    return decoded.select(
+    coded = docs.select("doc_id", byte_bpe.round_trip("text", *rule).alias("coded"))
+    return coded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
