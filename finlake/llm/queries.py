@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, language, token_counts, toxicity, winnow
+from finlake.llm import byte_bpe, jaccard, language, token_counts, toxicity, winnow
 from finlake.llm.common import held_out
 
 
@@ -36,6 +36,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", F.size("found.spans").alias("n_spans"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -96,14 +103,36 @@ OP4_SQL = rf"""
     from d left join covered using (r) left join named using (r)
 """
 
+OP3_SQL = rf"""
+    with recursive d as (
+        select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents
+    ), sets as (
+        select doc_id, list_sort(list_distinct(case
+            when len(w) = 0 then cast([] as varchar[])
+            when len(w) < 3 then [array_to_string(w, ' ')]
+            else [array_to_string(w[p:p + 2], ' ') for p in range(1, len(w) - 1)] end)) as s
+        from d
+    ), shingles as (select doc_id, len(s) as n, unnest(s) as g from sets), pairs as (
+        select a.doc_id as a, b.doc_id as b
+        from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n having 190 * count(*) >= 90 * (a.n + b.n)
+    ), reached(doc_id, other) as (
+        select doc_id, doc_id from sets union select r.doc_id, b from reached r join pairs p on p.a = r.other
+    )
+    select doc_id, len(any_value(s)) as n_shingles, min(other) as component_id
+    from sets join reached using (doc_id) group by doc_id
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op3_jaccard": op3_jaccard,
     "op4_winnowing": op4_winnowing,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_jaccard": OP3_SQL,
     "op4_winnowing": OP4_SQL,
 }
