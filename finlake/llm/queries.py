@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, jaccard, language, token_counts, toxicity, winnow
+from finlake.llm import byte_bpe, forest, jaccard, language, token_counts, toxicity, winnow
 from finlake.llm.common import held_out
 
 
@@ -76,6 +76,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4_SQL = rf"""
@@ -130,6 +135,7 @@ QUERIES = {
     "op4_winnowing": op4_winnowing,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_forest": op10_forest,
 }
 
 ORACLE: dict[str, str] = {
