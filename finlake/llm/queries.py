@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, forest, jaccard, language, token_counts, toxicity, winnow
+from finlake.llm import byte_bpe, forest, jaccard, language, token_counts, toxicity, warc, winnow
 from finlake.llm.common import held_out
 
 
@@ -55,6 +55,11 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"), least=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.token_counts(docs, tokenizer("word_bpe_49k.json"), limit=2048)
@@ -128,11 +133,30 @@ OP3_SQL = rf"""
     from sets join reached using (doc_id) group by doc_id
 """
 
+# Base 32 of a SHA-1: five hexadecimal digits (20 bits) are four characters.
+OP6_SQL = """
+    with p as (
+        select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as hex
+        from pages
+    ), d as (
+        select *, max(page_id) over (partition by hex) as largest,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+                   (cast('0x' || substr(hex, 1 + 5 * (i // 4), 5) as bigint) >> (15 - 5 * (i % 4))) & 31 as integer), 1)), '')
+               as payload_digest
+        from p
+    )
+    select page_id, payload_bytes, payload_digest,
+           case when page_id = largest then 'response' else 'revisit' end as record_type,
+           case when page_id <> largest then largest end as refers_to
+    from d
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
     "op3_jaccard": op3_jaccard,
     "op4_winnowing": op4_winnowing,
+    "op6_warc": op6_warc,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_forest": op10_forest,
@@ -141,4 +165,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_jaccard": OP3_SQL,
     "op4_winnowing": OP4_SQL,
+    "op6_warc": OP6_SQL,
 }
