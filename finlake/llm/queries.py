@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, forest, jaccard, language, token_counts, toxicity, warc, winnow
+from finlake.llm import byte_bpe, forest, html_text, jaccard, language, token_counts, toxicity, warc, winnow
 from finlake.llm.common import held_out
 
 
@@ -55,6 +55,11 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages"), least=0)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -156,6 +161,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_jaccard": op3_jaccard,
     "op4_winnowing": op4_winnowing,
+    "op5_html_text": op5_html_text,
     "op6_warc": op6_warc,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
