@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, forest, html_text, jaccard, language, token_counts, toxicity, warc, winnow
+from finlake.llm import byte_bpe, forest, html_text, jaccard, language, licenses, token_counts, toxicity, warc, winnow
 from finlake.llm.common import held_out
 
 
@@ -65,6 +65,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder for each source and thousand ids, whose first documents are its licence files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    place = F.concat(F.col("source"), F.lit("/p"), F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("/"))
+    name = F.when(F.col("doc_id") % 1000 < 20, "LICENSE").otherwise(F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    files = docs.select("doc_id", F.concat(place, name).alias("path"), "text")
+    return licenses.license_scan(files)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.token_counts(docs, tokenizer("word_bpe_49k.json"), limit=2048)
@@ -163,6 +172,7 @@ QUERIES = {
     "op4_winnowing": op4_winnowing,
     "op5_html_text": op5_html_text,
     "op6_warc": op6_warc,
+    "op7_licenses": op7_licenses,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_forest": op10_forest,
