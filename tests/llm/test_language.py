@@ -1,0 +1,68 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from finlake.llm.language import best_path, fit, label
+
+EN = "the weather is fine and we walk along the river with our friends until evening comes over town"
+DE = "das wetter ist schön und wir gehen mit unseren freunden am fluss entlang bis der abend kommt"
+RU = "погода хорошая и мы гуляем вдоль реки с друзьями пока не наступит вечер"
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def made(text, rnd, n):
+    words = text.split()
+    return " ".join(rnd.choice(words) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rnd = random.Random(1)
+    rows = [(i, made(t, rnd, 30), name) for i, (t, name) in enumerate([(EN, "en"), (DE, "de"), (RU, "ru")] * 10)]
+    rows += [(90, None, "en"), (91, "", "de"), (92, EN, None)]
+    return fit(spark.createDataFrame(rows, SCHEMA))
+
+
+def labelled(spark, model, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("score", F.lit("clash"))
+    rows = docs.select("doc_id", label("text", model, docs).alias("found")).orderBy("doc_id").collect()
+    return [r["found"] for r in rows]
+
+
+def test_spans(spark, model):
+    rnd = random.Random(2)
+    a, b, c = made(EN, rnd, 20), made(DE, rnd, 12), made(RU, rnd, 5)
+    mixed, plain, *nothing = labelled(spark, model, [f"{a}. {b}, {c}!", "Ein Abend am Fluss", None, "", "12 — 3 €"])
+    text = f"{a}. {b}, {c}!"
+    assert [(s["lang"], text[s["begin"] : s["end"]]) for s in mixed["spans"]] == [("en", a), ("de", b), ("ru", c)]
+    assert mixed["lang_pred"] == "en" and 0 < mixed["score"] < 1
+    assert plain["lang_pred"] == "de" and plain["score"] == 1
+    assert [(r["lang_pred"], r["score"], r["spans"]) for r in nothing] == [("und", 0.0, [])] * 3
+
+
+def test_long_and_repeated_texts(spark, model):
+    found = labelled(spark, model, [(EN + " ") * 3000, EN, EN])
+    assert [len(r["spans"]) for r in found] == [1, 1, 1] and {r["lang_pred"] for r in found} == {"en"}
+
+
+def test_nothing_to_learn_from(spark, model):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert [r["lang_pred"] for r in labelled(spark, fit(empty), ["x", None])] == ["und", "und"]
+    assert empty.select(label("text", model, empty).alias("found")).collect() == []
+
+
+def test_path_against_brute_force():
+    rng = np.random.default_rng(4)
+    bounds = np.array([0, 0, 1, 7, 7, 12])
+    scores = rng.normal(size=(12, 3)).astype(np.float32)
+    labels = best_path(scores, bounds, 0.7)
+
+    def value(path, rows):
+        return scores[rows, path].sum() - 0.7 * sum(a != b for a, b in zip(path, path[1:]))
+
+    for begin, end in zip(bounds, bounds[1:]):
+        rows = np.arange(begin, end)
+        best = max(value(list(p), rows) for p in np.ndindex(*[3] * len(rows)))
+        assert value(labels[rows].tolist(), rows) == pytest.approx(best, abs=1e-5)

@@ -1,0 +1,110 @@
+"""Registered queries against their SQL or plain versions, and the pipeline stage by stage, on whole tables."""
+
+import base64
+import hashlib
+import os
+import re
+
+import duckdb
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from finlake.llm import queries
+from test_jaccard import brute as jaccard_brute
+from test_winnow import brute as winnow_brute
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def rows(name, columns="*"):
+    return duckdb.sql(f"select {columns} from '{SF_DIR}/{name}.parquet'").fetchall()
+
+
+@pytest.fixture(scope="module")
+def library():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_sql(spark, name):
+    engine = duckdb.connect()
+    for table in ("documents", "benchmark", "pages", "embeddings", "labels"):
+        engine.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
+    result = contract.queries()[name](spark, SF_DIR).toArrow()  # noqa: F841
+    columns = ", ".join(sorted(result.column_names))
+    got = engine.sql(f"select {columns} from result order by all").fetchall()
+    assert got == engine.sql(f"select {columns} from ({contract.oracle_sql()[name]}) order by all").fetchall()
+
+
+def test_every_operator_is_registered():
+    names = contract.queries()
+    assert "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_bpe_query(spark, library):
+    texts = dict(rows("documents", "doc_id, text"))
+    found = contract.queries()["op9_byte_bpe"](spark, SF_DIR).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        text = texts[r["doc_id"]] or ""
+        ids = library.encode_ordinary(text)
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name, label", [("op1_toxicity", "toxic"), ("op2_language", "lang")])
+def test_held_out_rows(spark, name, label):
+    sf_dir = SF_DIR.replace("sf0.001", "sf0.1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    found = {r["doc_id"]: r for r in contract.queries()[name](spark, sf_dir).collect()}
+    known = duckdb.sql(f"select doc_id, {label} from '{sf_dir}/{'labels' if label == 'toxic' else 'documents'}.parquet'").fetchall()
+    out = [(found[i]["predicted" if label == "toxic" else "lang_pred"], y) for i, y in known if found[i]["held_out"]]
+    assert sum(p == y for p, y in out) >= 0.98 * len(out)
+    if label == "toxic":
+        assert sum(p == y == 1 for p, y in out) >= 0.85 * sum(y for _, y in out)
+
+
+def test_pipeline_stages(spark, library):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, SF_DIR).toArrow())
+        kept[name] = docs.collect()
+        assert docs.columns == columns or name == "tokens"
+    ids = {name: {r["doc_id"] for r in found} for name, found in kept.items()}
+    raw = rows("documents", "doc_id, text")
+    assert {i for i, t in raw} - ids["language"] <= {i for i, t in raw if len(t) < 2000}
+    assert {i for i, t in raw if not re.search(r"[^\W\d_]", t or "")}.isdisjoint(ids["language"])
+    insults = re.compile(r"\b(idiot|moron|scum|trash|loser|clown|stupid|pathetic|worthless|disgusting)\b", re.IGNORECASE)
+    gone = {r["doc_id"]: r["text"] for r in kept["language"] if r["doc_id"] not in ids["toxicity"]}
+    several = {r["doc_id"] for r in kept["language"] if len(insults.findall(r["text"])) > 1}
+    assert several <= gone.keys() and len(gone) < 0.2 * len(raw)
+    before = [(r["doc_id"], r["text"]) for r in kept["toxicity"]]
+    assert ids["near_duplicates"] == {i for i, (_, c) in jaccard_brute(before, 5, 80).items() if i == c}
+    before = [(r["doc_id"], r["text"]) for r in kept["near_duplicates"]]
+    hit = {r[0] for r in winnow_brute(before, rows("benchmark", "item_id, text"), 10) if r[2]}
+    assert ids["decontamination"] == ids["near_duplicates"] - hit
+    texts = {r["doc_id"]: r["text"] for r in kept["decontamination"]}
+    for r in kept["tokens"]:
+        packed = b"".join(i.to_bytes(4, "little") for i in library.encode_ordinary(texts[r["doc_id"]]))
+        assert bytes(r["token_ids"]) == packed and r["intact"] and r["n_tokens"] == len(packed) // 4
+
+
+def test_run_is_its_stages(spark):
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id").collect()}
+
+
+def test_stages_take_empty_and_null_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for made in ([], [(None, None, None, None, None), (1, "", None, None, 0), (1, "", None, None, 0)]):
+        docs = spark.createDataFrame(made, schema)
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, SF_DIR).count() <= len(made)

@@ -1,0 +1,85 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from finlake.llm import toxicity
+from finlake.llm.grammar import CLASSES, Grammar, negation, reported, series, target, toxicity_grammar
+from finlake.llm.toxicity import Model, Scanner, fit, score
+
+SCHEMA = "doc_id long, text string, toxic int"
+
+
+def seeds():
+    listed = {w: (kind, 4.0) for kind, words in toxicity.SEEDS.items() for w in words.split()}
+    return Model(listed, {}, toxicity.np.array([-3.0, 1.5, 0.5, 0.0, 0.0]))
+
+
+def clause(text):
+    return Scanner(seeds()).features([text])[0, 1]
+
+
+def test_clauses():
+    plain = clause("what an idiot this is")
+    assert clause("you are an idiot") > plain > clause("they said what an idiot") > clause("not an idiot") > 0
+    assert clause("not today or ever again an idiot") == plain  # out of the negation's scope
+    assert clause("no, idiot") == plain  # another clause
+    assert clause("idiot and loser") > 2 * plain
+    assert clause("I will kill you") > 0
+    assert clause("a fine day") == clause("") == clause("idiotic") == 0
+
+
+def test_composition_is_each_transducer_in_turn():
+    parts, rnd = [negation(), reported(), target(), series()], random.Random(5)
+    whole = Grammar(parts)
+    for _ in range(300):
+        words = [(rnd.choice(CLASSES), rnd.random()) for _ in range(rnd.randint(0, 12))]
+        total, states = 0.0, [0] * len(parts)
+        for read, weight in words:
+            for i, machine in enumerate(parts):
+                states[i], read, factor = machine.step(states[i], read)
+                weight *= factor
+            total += weight if read in ("insult", "threat", "aimed", "denied", "quoted") else 0
+        assert whole.clause(words) == pytest.approx(total)
+    assert toxicity_grammar().arcs.keys() == whole.arcs.keys()
+
+
+def corpus(rnd, n):
+    words = [f"{a}{b}{c}" for a in "bdfglm" for b in "aeiou" for c in ("n", "rt", "st")]
+    rows = []
+    for i in range(n):
+        text, bad = [rnd.choice(words) for _ in range(rnd.randint(10, 60))], rnd.random() < 0.3
+        for _ in range(rnd.randint(2, 4) * bad):
+            text.insert(rnd.randrange(len(text)), rnd.choice(["zorgon", "Grumpelish", "grumpelet", "grumpelum"]))
+        rows.append((i, " ".join(text) + ".", int(bad)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = corpus(random.Random(1), 300) + [(900, None, 1), (901, "", 0), (902, "zorgon", None), (903, "x", 7)]
+    return fit(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_learned_words_and_stems(spark, model):
+    assert model.words["zorgon"][0] == "insult" and any("grumpel".startswith(s[:7]) for s in model.stems)
+    rows = corpus(random.Random(2), 200)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("clash"))
+    scored = docs.select("toxic", score("text", model, docs).alias("p")).collect()
+    assert all(0 <= r["p"] <= 1 for r in scored)
+    assert sum((r["p"] >= 0.5) == (r["toxic"] == 1) for r in scored) >= 0.97 * len(rows)
+
+
+def test_edges(spark, model):
+    texts = [None, "", "bart gen", "zorgon. " * 20000, "zorgon zorgon", "zorgon zorgon"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    p = [r[0] for r in docs.select(score("text", model, docs), "doc_id").orderBy("doc_id").collect()]
+    assert p[0] == p[1] == p[2] < 0.5 < p[3] and p[4] == p[5]
+    assert docs.limit(0).select(score("text", model, docs)).collect() == []
+
+
+def test_nothing_to_learn_from(spark):
+    for rows in ([], [(1, "x", 1)], [(1, "x", 0)]):
+        plain = fit(spark.createDataFrame(rows, SCHEMA))
+        assert plain.stems == {}
+        assert Scanner(plain).scores(["you idiot", "hello"]).round().tolist() == [1, 0]

@@ -1,0 +1,61 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from finlake.llm.winnow import decontaminate
+
+
+def words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items, n):
+    out = []
+    for doc_id, text in docs:
+        mine, hit, ids = words(text), set(), set()
+        for item_id, item in items:
+            theirs = words(item)
+            size = min(n, len(theirs))
+            windows = {tuple(theirs[p : p + size]) for p in range(len(theirs) - size + 1)} if theirs else set()
+            for p in range(len(mine) - size + 1):
+                if tuple(mine[p : p + size]) in windows:
+                    hit |= set(range(p, p + size))
+                    ids |= {str(item_id)} if item_id is not None else set()
+        out.append((doc_id, len(mine), len(hit), sorted(ids)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("n, k, letters", [(10, 5, "abcdefghijklmnopqrstuvwxyz"), (4, 2, "abc"), (3, 3, "ab"), (6, 1, "abcde")])
+def test_against_brute_force(spark, n, k, letters):
+    rnd = random.Random(n)
+    some = lambda size: [rnd.choice(letters) for _ in range(size)]
+    items = [(i, some(rnd.randint(n, 3 * n))) for i in range(6)] + [(i, some(i - 5)) for i in range(6, 9)]
+    docs = []
+    for i in range(40):
+        text = some(rnd.randint(0, 4 * n))
+        for _ in range(rnd.randint(0, 2)):  # a piece of an item, some of them too short to count
+            item = rnd.choice(items)[1]
+            at = rnd.randrange(len(item))
+            text[len(text) // 2 : len(text) // 2] = item[at : at + rnd.randint(1, n + 3)]
+        docs.append((i, rnd.choice([" ", ", "]).join(text).upper() if i % 3 else "-".join(text)))
+    docs += [(40, None), (41, ""), (41, ""), (None, " ".join(items[0][1]))]
+    items = [(i, "  ".join(text)) for i, text in items] + [(90, None), (91, "..."), (None, " ".join(letters)), (7, "a")]
+    found = decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string").withColumn("gram", F.lit("clash")),
+        spark.createDataFrame(items, "item_id long, text string"),
+        n=n,
+        k=k,
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == brute(docs, items, n)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert decontaminate(docs.limit(0), items).collect() == []
+    assert [tuple(r) for r in decontaminate(docs, items.limit(0)).collect()] == [(1, 3, 0, [])]
+    with pytest.raises(ValueError):
+        decontaminate(docs, items, n=3, k=4)
