@@ -6,17 +6,19 @@ connected component of each document; links inside a group of copies are not lis
 
 1. Equal sets become one node. Only nodes travel from there on.
 2. All nodes share one order of tokens: tokens that very many documents hold come last, others by hash.
-   Of two linked sets, the first ``n - ceil(percent n) + k`` tokens share ``k`` or more. Nodes with
-   fewer than ``k`` of these tokens in common with others link with nothing.
+   Of two linked sets, the first ``n - ceil(percent n) + k`` tokens share ``k`` or more, where ``k``
+   grows with ``n`` (``_extra``). Nodes with fewer of these tokens in common with others link with nothing.
+   Of those left, tokens that no other of them holds are counted: the others bound a node's overlap with
+   any, ``s``, and those whose ``s`` is too small go too.
 3. The others are partitioned into groups of similar nodes: by a token that they share with most others,
    in blocks of at most about ``BLOCK`` nodes. Within a block the matrix has a row of bits over the
    tokens for each group of linked nodes: the union of its members' tokens. A node's overlap with that
    union bounds its overlap with each member, so only groups that reach ``percent`` of the node are opened
    and compared. The first node of each group then goes through the same again under another token.
-4. What may still link across groups: the first tokens of each group's members, in blocks, are united
-   and joined with those of other groups. Pairs of blocks with ``k`` or more common tokens are opened in
-   the same way. Tokens whose holders are all in one group by now are left out first. So no pair is lost,
-   and copies of one text are never paired with each other.
+4. What may still link across blocks: first tokens whose holders are not yet all in one group. They are
+   united by block of step 3 and joined; pairs of blocks with enough common tokens, and with bounds
+   ``s`` that allow a link, are opened in the same way, but only nodes of different groups are compared.
+   So no pair is lost, and copies of one text are never paired.
 
 Null, empty and blank texts are empty sets and link with nothing. Rows with a null id take part only if
 another row has the same set; else their component is null. Rows may repeat; different
@@ -72,6 +74,17 @@ def _least_size(percent: int) -> int:
     return n
 
 
+def _extra(n: int) -> int:
+    """By how many tokens more than needed the first tokens of a set of n go on; so many are then shared."""
+    return 1 if n < 9 else 3 + n // 32
+
+
+def _shared_by_all(n: int, percent: int) -> int:
+    """How many of its first tokens a set of n shares at least with each set that it links with."""
+    smallest = _needed(n, percent)  # of sets that it can link with
+    return min(_extra(smallest), _needed(smallest, percent))
+
+
 def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """A bitmap of tokens that very many documents hold; any set of tokens keeps the result right."""
 
@@ -87,18 +100,21 @@ def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
     return bitmap(often, "token")
 
 
-def _first(tokens: np.ndarray, last: np.ndarray, percent: int, k: int) -> np.ndarray:
+def _first(tokens: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens of a set, in the order that all sets share."""
     n = len(tokens)
     if n < _least_size(percent):
         return tokens[:0]
     late = last[(tokens & np.uint64(len(last) - 1)).astype(np.int64)]
     order = np.concatenate((tokens[~late], tokens[late]))
-    return order[: min(n, n - _needed(n, percent) + k)]
+    return order[: min(n, n - _needed(n, percent) + min(_extra(n), _needed(n, percent)))]
+
 
+def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, last: np.ndarray) -> DataFrame:
+    """For each document: its id, the size of its set, the set's signature and its first tokens.
 
-def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, k: int, last: np.ndarray) -> DataFrame:
-    """For each document: its id, the size of its set, the set's signature and its first tokens."""
+    ``need``: how many of the first tokens a set shares at least with any that it links with.
+    """
     packed = np.packbits(last)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,18 +129,20 @@ def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int,
                 begins = (np.cumsum(counts) - counts)[full]
                 for total, salt in zip(sums, (MIXED_A, MIXED_B)):
                     total[full] = np.add.reduceat(mixed(flat ^ salt), begins)
-            first = [_first(tokens, late, percent, k).view(np.int64) for tokens in sets]
+            first = [_first(tokens, late, percent).view(np.int64) for tokens in sets]
+            need = [_shared_by_all(n, percent) for n in counts.tolist()]
             yield pa.record_batch(
                 {
                     "id": batch.column("id"),
                     "n": counts,
+                    "need": pa.array(need, pa.int32()),
                     "sig1": sums[0].view(np.int64),
                     "sig2": sums[1].view(np.int64),
                     "first": pa.array(first, pa.list_(pa.int64())),
                 }
             )
 
-    schema = "id long, n long, sig1 long, sig2 long, first array<long>"
+    schema = "id long, n long, need int, sig1 long, sig2 long, first array<long>"
     return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(describe, schema)
 
 
@@ -241,46 +259,88 @@ def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))[:-1])
 
 
-def linked_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each node with the smallest node of its group, for (block, node, tokens)."""
+def linked_blocks(members: DataFrame, block: str, percent: int) -> DataFrame:
+    """Each node of a block with the first node of its group: (a, b, other, tokens).
+
+    First nodes keep their ``tokens`` and their ``other`` block, for another pass.
+    """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _by_key(batches, ["block"]):
-            nodes = block.column("node").to_pylist()
-            matrix = Matrix(percent, _arrays(block.column("tokens")))
+        for part in _by_key(batches, ["block"]):
+            nodes, other = part.column("node").to_pylist(), part.column("other").to_pylist()
+            sets = _arrays(part.column("tokens"))
+            matrix = Matrix(percent, sets)
             for i in range(len(nodes)):
                 matrix.add(i, matrix.links(i, matrix.qualifying(i)))
-            pairs = [(nodes[i], min(nodes[j] for j in group)) for group in matrix.groups for i in group]
-            yield pa.record_batch({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]})
+            firsts = [(i, group[0]) for group in matrix.groups for i in group]
+            yield pa.record_batch(
+                {
+                    "a": pa.array([nodes[i] for i, _ in firsts], pa.int64()),
+                    "b": pa.array([nodes[j] for _, j in firsts], pa.int64()),
+                    "other": pa.array([other[i] for i, _ in firsts], pa.int64()),
+                    "tokens": pa.array([sets[i] if i == j else None for i, j in firsts], pa.list_(pa.int64())),
+                }
+            )
 
-    sorted_blocks = members.repartition("block").sortWithinPartitions("block")
-    return sorted_blocks.select("block", "node", "tokens").mapInArrow(link, "a long, b long")
+    dealt = members.repartition(block).sortWithinPartitions(block)
+    rows = dealt.select(F.col(block).alias("block"), "node", "other", "tokens")
+    return rows.mapInArrow(link, "a long, b long, other long, tokens array<long>")
 
 
 def linked_pairs(sides: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links across pairs of blocks, for (one, two, side, node, tokens)."""
+    """(a, b): links across pairs of blocks, for (one, two, side, node, component, tokens)."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pair in _by_key(batches, ["one", "two"]):
-            nodes, side = pair.column("node").to_pylist(), pair.column("side").to_pylist()
-            matrix = Matrix(percent, _arrays(pair.column("tokens")))
-            left, right = ([i for i, s in enumerate(side) if s == which] for which in (0, 1))
-            for i in left:  # the nodes of a block are linked already, so one link joins two blocks
-                matrix.add(i, [0] if matrix.groups else [])
-            i = next((i for i in right if left and matrix.links(i, matrix.qualifying(i).tolist())), None)
-            if i is not None:
-                yield pa.record_batch({"a": pa.array([nodes[i]], pa.int64()), "b": pa.array([nodes[left[0]]], pa.int64())})
+            nodes, side, component = (pair.column(c).to_pylist() for c in ("node", "side", "component"))
+            matrix, home, same = Matrix(percent, _arrays(pair.column("tokens"))), {}, {c: c for c in component}
+
+            def root(c: int) -> int:
+                while same[c] != c:
+                    c = same[c]
+                return c
+
+            for i in (i for i, s in enumerate(side) if s == 0):
+                group = home.setdefault(component[i], len(matrix.groups))
+                matrix.add(i, [group] if group < len(matrix.groups) else [])
+            names, found = list(home), []
+            for i in (i for i, s in enumerate(side) if s == 1):
+                for g in matrix.qualifying(i).tolist():
+                    if root(names[g]) != root(component[i]) and matrix.links(i, [g]):
+                        same[root(names[g])] = root(component[i])
+                        found.append((nodes[i], nodes[matrix.groups[g][0]]))
+            if found:
+                a, b = zip(*found)
+                yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     dealt = sides.repartition("one", "two").sortWithinPartitions("one", "two")
-    return dealt.select("one", "two", "side", "node", "tokens").mapInArrow(link, "a long, b long")
+    return dealt.select("one", "two", "side", "node", "component", "tokens").mapInArrow(link, "a long, b long")
 
 
-def _blocks(keyed: DataFrame, key: str, salt: int) -> DataFrame:
-    """The rows with a ``block``: those of one key, cut by a hash into parts of about BLOCK rows; single rows go."""
-    sizes = keyed.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
-    parts = F.ceil(F.col("size") / BLOCK)
-    part = F.pmod(F.xxhash64("node", F.lit(salt)), parts)
-    return keyed.join(sizes, key).withColumn("block", F.xxhash64(key, part, F.lit(salt))).drop("size")
+def _blocks(keys: DataFrame, key: str, salt: int) -> DataFrame:
+    """The rows with a ``block_<key>``: those of one key, cut by a hash into parts of about BLOCK rows."""
+    sizes = keys.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))
+    return keys.join(sizes, key).withColumn(f"block_{key}", F.xxhash64(key, part, F.lit(salt))).drop(key, "parts")
+
+
+def _allows(s, n, m, percent: int):
+    """Whether sets of n and m with an overlap of s at most may link."""
+    return (100 + percent) * s >= percent * (n + m)
+
+
+def _bounded(enough: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """With ``s``, how many tokens of a node others hold too; nodes that can't link for that go."""
+    single = (
+        sets.select("node", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.count("*").alias("df"), F.min("node").alias("node"))
+        .where("df = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("single"))
+    )
+    bound = enough.join(single, "node", "left").withColumn("s", F.col("n") - F.coalesce("single", F.lit(0))).drop("single")
+    return bound.where(_allows(F.col("s"), F.col("n"), F.ceil(F.col("n") * percent / 100), percent))
 
 
 def jaccard_components(
@@ -290,33 +350,32 @@ def jaccard_components(
     if not 0 < percent <= 100:
         raise ValueError("percent is from 1 to 100")
     work = Workspace(docs.sparkSession)
-    k = min(3, _needed(_least_size(percent), percent))
     last = frequent_tokens(docs, text, size)
-    rows = work.save(described(docs, doc_id, text, size, percent, k, last))
+    rows = work.save(described(docs, doc_id, text, size, percent, last))
     nodes = work.save(
-        rows.where("n > 0 and id is not null").groupBy("sig1", "sig2", "n").agg(F.min("id").alias("node"), F.first("first").alias("first"))
+        rows.where("n > 0 and id is not null")
+        .groupBy("sig1", "sig2", "n", "need")
+        .agg(F.min("id").alias("node"), F.first("first").alias("first"))
     )
     # Tokens among the first of two nodes or more.
     held = nodes.select("node", F.explode("first").alias("token"))
     often = held.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = work.save(held.join(often, "token"))
-    keys = work.save(
-        shared.groupBy("node")
-        .agg(
-            F.count("*").alias("common"),
-            F.max(F.struct("df", "token"))["token"].alias("key1"),
-            F.min("token").alias("key2"),
-        )
-        .where(F.col("common") >= k)
-        .select("node", "key1", "key2")
+    found = shared.groupBy("node").agg(
+        F.count("*").alias("common"), F.max(F.struct("df", "token"))["token"].alias("key1"), F.min("token").alias("key2")
     )
-    sets = work.save(token_sets(docs, doc_id, text, size, _marked_ids(keys, "node")).join(keys, "node"))
-    groups = work.save(linked_blocks(_blocks(sets, "key1", 1), percent))
-    leaders = sets.join(groups.where("a <> b").select(F.col("a").alias("node")), "node", "left_anti")
-    second = work.save(linked_blocks(_blocks(leaders, "key2", 2), percent))
-    linked = components(groups.unionByName(second), work)
-    found = work.save(groups.unionByName(second).unionByName(_across(shared, keys, sets, work.save(linked), work, k, percent)))
-    final = work.save(components(found, work))
+    enough = found.join(nodes.select("node", "n", "need"), "node").where("common >= need").drop("common")
+    enough = work.save(enough)
+    sets = work.save(token_sets(docs, doc_id, text, size, _marked_ids(enough, "node")))
+    keys = work.save(_blocks(_blocks(_bounded(enough, sets, percent), "key1", 1), "key2", 2))
+    sets = work.save(sets.join(keys.select("node", "block_key1", F.col("block_key2").alias("other")), "node"))
+    groups = work.save(linked_blocks(sets, "block_key1", percent))
+    leaders = groups.where("tokens is not null").select(F.col("a").alias("node"), "other", "tokens")
+    second = work.save(linked_blocks(leaders, "other", percent).select("a", "b"))
+    links = groups.select("a", "b").unionByName(second)
+    linked = work.save(components(links, work))
+    stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = work.save(components(stars.unionByName(_across(shared, keys, sets, linked, work, percent)), work))
     by_set = nodes.join(final.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left").select(
         "sig1", "sig2", F.coalesce("component", "node").alias("component")
     )
@@ -325,26 +384,45 @@ def jaccard_components(
     )
 
 
-def _across(shared: DataFrame, keys: DataFrame, sets: DataFrame, linked: DataFrame, work: Workspace, k: int, percent: int) -> DataFrame:
+def _across(shared: DataFrame, keys: DataFrame, sets: DataFrame, linked: DataFrame, work: Workspace, percent: int) -> DataFrame:
     """Links between nodes of different groups."""
-    grouped = keys.select("node").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
-    part = F.pmod(F.xxhash64("node", F.lit(3)), F.ceil(F.col("size") / BLOCK))
-    placed = work.save(grouped.join(sizes, "component").select("node", "component", F.xxhash64("component", part).alias("block")))
-    unions = shared.select("token", "node").join(placed, "node").select("token", "component", "block").distinct()
-    bridging = unions.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    matrix = work.save(unions.join(bridging.select("token"), "token"))
+    grouped = keys.select("node", "need", "n", "s", F.col("block_key1").alias("block")).join(linked, "node", "left")
+    placed = grouped.withColumn("component", F.coalesce("component", "node"))
+    holders = work.save(shared.select("token", "node").join(placed, "node"))
+    tokens = holders.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least")
+    )
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    bridging = holders.join(tokens.where("low <> high").select("token", "least"), "token")
+    bridging = work.save(bridging.where(_allows(F.col("s"), F.col("n"), partner, percent)).drop("least"))
+    matrix = work.save(
+        bridging.groupBy("token", "block").agg(
+            F.min("need").alias("need"),
+            F.min("n").alias("n"),
+            F.max("s").alias("s"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+    )
     one, two = matrix.alias("one"), matrix.alias("two")
+    several = (F.col("one.low") != F.col("two.high")) | (F.col("one.high") != F.col("two.low"))
     pairs = (
-        one.join(two, (F.col("one.token") == F.col("two.token")) & (F.col("one.component") < F.col("two.component")))
+        one.join(
+            two,
+            (F.col("one.token") == F.col("two.token"))
+            & (F.col("one.block") < F.col("two.block"))
+            & several
+            & _allows(F.least("one.s", "two.s"), F.col("one.n"), F.col("two.n"), percent),
+        )
         .groupBy(F.col("one.block").alias("one"), F.col("two.block").alias("two"))
-        .agg(F.count("*").alias("common"))
-        .where(F.col("common") >= k)
+        .agg(F.count("*").alias("common"), F.greatest(F.min("one.need"), F.min("two.need")).alias("need"))
+        .where("common >= need")
         .select("one", "two")
     )
     pairs = work.save(pairs)
     opened = pairs.select("one", "two", F.lit(0).alias("side"), F.col("one").alias("block")).unionByName(
         pairs.select("one", "two", F.lit(1).alias("side"), F.col("two").alias("block"))
     )
-    sides = opened.join(placed.select("block", "node"), "block").join(sets.select("node", "tokens"), "node")
+    active = bridging.select("node", "block", "component").distinct()
+    sides = opened.join(active, "block").join(sets.select("node", "tokens"), "node")
     return linked_pairs(sides, percent)
