@@ -37,7 +37,7 @@ from finlake.llm.language import sampled
 TREES = 5
 LEAF = 256
 SAMPLE = 50_000
-PART = 512
+PART = 2048
 
 
 @dataclass(frozen=True)
