@@ -2,6 +2,8 @@
 
     python -m finlake run-day s3a://lake 2025-04-15
     python -m finlake backfill s3a://lake 2025-04-15 2025-05-15
+    python -m finlake ingest s3a://lake sales 2025-04-15
+    python -m finlake refresh s3a://lake products 2025-04-15 2025-04-17
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from finlake import Lake, backfill, run_day
+from finlake import REPORTS, SPECS, Lake, backfill, ingest, refresh_gold, run_day
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -26,12 +28,24 @@ def main(argv: list[str] | None = None) -> None:
     many.add_argument("first", type=date.fromisoformat)
     many.add_argument("last", type=date.fromisoformat)
     many.add_argument("--replay", action="store_true", help="one day after the other")
+    source = commands.add_parser("ingest", help="bring one source's file of a day into its table")
+    source.add_argument("lake")
+    source.add_argument("source", choices=sorted(SPECS))
+    source.add_argument("day", type=date.fromisoformat)
+    report = commands.add_parser("refresh", help="recompute days of one summary table")
+    report.add_argument("lake")
+    report.add_argument("report", choices=sorted(REPORTS))
+    report.add_argument("days", type=date.fromisoformat, nargs="+")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("finlake").getOrCreate()
     lake = Lake.at(args.lake, args.format)
     if args.command == "run-day":
         run_day(spark, lake, args.day)
+    elif args.command == "ingest":
+        ingest(spark, lake, SPECS[args.source], args.day)
+    elif args.command == "refresh":
+        refresh_gold(spark, lake, args.report, args.days)
     else:
         days = [args.first + timedelta(n) for n in range((args.last - args.first).days + 1)]
         backfill(spark, lake, days, replay=args.replay)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,10 +24,13 @@ def parse_day(day: Day) -> date:
 
 
 def parse_days(days: Day | Iterable[Day]) -> list[date]:
-    """One day or many, as a sorted list without repeats."""
+    """One day or many, as a sorted list without repeats; none at all raises."""
     if isinstance(days, (str, date)):
         days = [days]
-    return sorted({parse_day(d) for d in days})
+    parsed = sorted({parse_day(d) for d in days})
+    if not parsed:
+        raise ValueError("no days given")
+    return parsed
 
 
 def file_token(day: Day) -> str:
@@ -44,23 +47,8 @@ def on_days(column: Column, days: Iterable[date | None]) -> Column:
 
 
 def presence(column: Column, days: list[date]) -> Column:
-    """Aggregate: a bitmap with one bit per day from ``days[0]`` on.
+    """Aggregate: those of the days that occur, as a set.
 
-    Setting a bit twice changes nothing, so a retried task cannot spoil it.
+    It holds at most one value per day asked for, and a retried task cannot spoil it.
     """
-    if (days[-1] - days[0]).days >= 32768:  # bits in one Spark bitmap
-        raise ValueError("the days span more than 32,768 days")
-    offset = F.date_diff(column, F.lit(days[0])) + F.lit(1)
-    inside = column.isin(days)
-    return F.bitmap_construct_agg(F.bitmap_bit_position(F.when(inside, offset)))
-
-
-def present_days(bitmap: bytes, first: date) -> set[date]:
-    """The days whose bit is set in a bitmap made by :func:`presence`."""
-    return {
-        first + timedelta(days=byte * 8 + bit)
-        for byte, bits in enumerate(bitmap or b"")
-        if bits
-        for bit in range(8)
-        if bits >> bit & 1
-    }
+    return F.collect_set(F.when(column.isin(days), column))

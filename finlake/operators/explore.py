@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.functions.days import Day
+from finlake.functions.days import Day, parse_day
 from finlake.functions.money import exact_sum
 from finlake.operators.reports import Report, get_report
 from finlake.sources.lake import Lake, read_table
@@ -35,12 +35,11 @@ def filter_report(
 ) -> DataFrame:
     """Rows of some branches between two days, both included, and of one product if given.
 
-    No branches means no rows. The product is ignored by reports without one.
+    No branches means no rows, and so does a day that is None; a malformed day raises.
+    The product is ignored by reports without one.
     """
-    rows = summary.where(
-        F.col("FilialId").isin(list(branches))
-        & F.col("CodigoData").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    )
+    low, high = (F.lit(None if day is None else parse_day(day)).cast("date") for day in (first, last))
+    rows = summary.where(F.col("FilialId").isin(list(branches)) & F.col("CodigoData").between(low, high))
     if get_report(report).has_product and product not in (None, ALL_PRODUCTS):
         rows = rows.where(F.col("ProdutoId") == F.lit(product))
     return rows

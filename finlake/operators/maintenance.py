@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +22,16 @@ from finlake.functions.days import (
     parse_day,
     parse_days,
     presence,
-    present_days,
 )
 from finlake.sources import delta
-from finlake.sources.lake import materialize, path_exists, read_table, scratch
+from finlake.sources.lake import (
+    mark_complete,
+    materialize,
+    path_exists,
+    read_partitions,
+    read_table,
+    scratch,
+)
 
 
 class UpsertConflict(ValueError):
@@ -38,16 +44,18 @@ def conform(
     """The frame with a table's columns, by case-insensitive name and with its types.
 
     ``extra`` keeps columns the table does not have; ``missing`` is ``null`` to
-    fill absent ones or ``error`` to refuse them.
+    fill absent ones or ``error`` to refuse them. A value that its column's type
+    cannot hold in full raises when it is met, naming the column.
     """
     own = {name.lower(): name for name in df.columns}
     absent = [f.name for f in schema if f.name.lower() not in own]
     if absent and missing == "error":
         raise ValueError(f"columns missing from the batch: {', '.join(absent)}")
+    kinds = {f.name.lower(): f.dataType for f in df.schema}
     columns = [
-        (F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None))
-        .cast(f.dataType)
-        .alias(f.name)
+        _fitted(F.col(f"`{own[f.name.lower()]}`"), kinds[f.name.lower()], f).alias(f.name)
+        if f.name.lower() in own
+        else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema
     ]
     if extra:
@@ -56,6 +64,39 @@ def conform(
     return df.select(*columns)
 
 
+_WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _widens(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of one type has its equal in the other."""
+    if source == target or isinstance(source, T.NullType) or isinstance(target, T.StringType):
+        return True
+    one, two = source.simpleString(), target.simpleString()
+    if isinstance(target, T.DecimalType):
+        places = (_WHOLE[one], 0) if one in _WHOLE else None
+        if isinstance(source, T.DecimalType):
+            places = (source.precision - source.scale, source.scale)
+        return bool(places) and places[0] <= target.precision - target.scale and places[1] <= target.scale
+    if one in _WHOLE and two in _WHOLE:
+        return _WHOLE[one] <= _WHOLE[two]
+    return (one, two) in {("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz")} or (
+        two == "double" and one in ("tinyint", "smallint", "int")
+    )
+
+
+def _fitted(column: Column, source: T.DataType, field: T.StructField) -> Column:
+    """The column in a table's type. A cast that may lose something is compared with its way back."""
+    if _widens(source, field.dataType):
+        return column.cast(field.dataType)
+    if isinstance(source, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+        return column.cast(field.dataType)
+    cast = column.try_cast(field.dataType)
+    # Text need only be readable as the type: 007 is a number, and 1e2 too.
+    kept = cast.isNotNull() if isinstance(source, T.StringType) else cast.try_cast(source).eqNullSafe(column)
+    wrong = F.concat(F.lit(f"column {field.name}: "), column.cast("string"), F.lit(f" does not fit {field.dataType.simpleString()}"))
+    return F.when(column.isNull() | kept, cast).otherwise(F.raise_error(wrong).cast(field.dataType))
+
+
 def _by_day(df: DataFrame, date_col: str) -> DataFrame:
     """Bring each day's rows together for few, well-sized files.
 
@@ -110,6 +151,7 @@ def create(
     _save(_sorted_files(out, date_col, order), path, date_col, "overwrite")
     if not rows.get["rows"]:
         _empty_partition(df, path, date_col, None)
+    mark_complete(df.sparkSession, path)
 
 
 def append(
@@ -153,7 +195,8 @@ def replace_days(
     Rows dated on one of the days take its partition over in a single job. Rows
     of any other date, or of none, are appended in a second job that runs only
     if the first one met such rows. Days for which no row came end up empty.
-    ``order`` is as in :func:`create`.
+    ``order`` is as in :func:`create`. The second job computes the frame again, so
+    a frame whose rows may change between two runs must be written by the caller first.
     """
     days = parse_days(days)
     spark = df.sparkSession
@@ -170,7 +213,7 @@ def replace_days(
     else:
         fresh = _sorted_files(watched.where(dated), date_col, order)
         _save(fresh, path, date_col, "overwrite", dynamic=True)
-        for day in sorted(set(days) - present_days(seen.get["present"], days[0])):
+        for day in sorted(set(days) - set(seen.get["present"])):
             clear_day(spark, path, date_col, day)
     counts = {name: seen.get[name] or 0 for name in ("replaced", "stray")}
     if counts["stray"]:
@@ -189,6 +232,7 @@ def upsert(
     id_col: str,
     date_col: str,
     fmt: str = "parquet",
+    schema: T.StructType | None = None,
 ) -> dict[str, int]:
     """Update stored rows whose id is in the batch, insert the other rows of the batch.
 
@@ -198,8 +242,12 @@ def upsert(
     * Two batch rows for one stored id raise :class:`UpsertConflict`; repeated
       ids that match nothing are all inserted.
     * A stored column missing from the batch is an error; a new one is left out.
+      Stored columns are those of ``schema`` (or, without one, of some stored file)
+      and whatever the files of rewritten days hold beyond them.
 
-    The stored table is searched once, reading only ids. Then days that hold a
+    The stored table is searched once, reading only ids; no file footer is opened
+    for that if there is a ``schema``. The join behind the search is written as it
+    is, so Spark splits a stored id or a batch id that very many rows have. Then days that hold a
     match are rewritten, and everything else is appended. Rows that leave a day
     are removed before they are added elsewhere, so running a broken upsert
     again completes it instead of duplicating rows.
@@ -207,25 +255,22 @@ def upsert(
     if fmt == "delta":
         delta.upsert(spark, path, batch, id_col)
         return {}
-    # All columns of all files: days are rewritten below and must stay whole.
-    target = read_table(spark, path, date_col, evolved=True)
-    columns = target.columns
-    batch = conform(batch, target.schema, missing="error")
+    stored_ids = read_table(spark, path, date_col, schema=schema)
+    batch = conform(batch, stored_ids.schema, extra=True, missing="error")
 
     with scratch(spark, path) as folder:
         batch = materialize(batch, f"{folder}/batch")
         # One row per id of the batch: how often it occurs and the day it goes to.
-        wanted = (
+        wanted = materialize(
             batch.where(F.col(id_col).isNotNull())
             .groupBy(id_col)
-            .agg(F.count(F.lit(1)).alias("_copies"), F.min(date_col).alias("_to"))
+            .agg(F.count(F.lit(1)).alias("_copies"), F.min(date_col).alias("_to")),
+            f"{folder}/wanted",
         )
         # One row per matched id and day. A written copy, because the search
         # must not be repeated on a table that has begun to change.
-        hits = materialize(
-            target.select(id_col, F.col(date_col).alias("_from")).join(wanted, id_col).distinct(),
-            f"{folder}/hits",
-        )
+        found = stored_ids.select(id_col, F.col(date_col).alias("_from")).join(wanted, id_col)
+        hits = materialize(found, f"{folder}/hits").distinct()
         leaves = ~F.col("_from").eqNullSafe(F.col("_to"))
         # At most one row per partition of the table.
         touched = (
@@ -240,6 +285,13 @@ def upsert(
         if any(row.copies > 1 for row in touched):
             raise UpsertConflict(f"several batch rows share a stored {id_col}")
 
+        # All columns of the days to be rewritten, which must stay whole.
+        target = stored_ids
+        if touched:
+            days = [row["_from"] for row in touched]
+            target = read_partitions(spark, path, date_col, days, stored_ids.schema)
+        columns = target.columns
+        batch = conform(batch, target.schema, missing="error")
         matched_ids = hits.select(id_col)
         updates = batch.join(matched_ids, id_col, "left_semi").select(
             id_col, F.struct(*columns).alias("_new")

@@ -92,17 +92,20 @@ def _latest_versions(rows: DataFrame, id_col: str, folder: str) -> DataFrame:
 
     The first file that has an id says how many rows there will be, the last one
     what they hold. From its second file on, an id may occur only once per file.
+
+    The newest version travels in the aggregate per id, so a single join remains.
+    Rows without an id, which may be many, do not go through it.
     """
-    per_file = (
-        rows.where(F.col(id_col).isNotNull())
-        .groupBy(id_col, FILE_DAY)
-        .agg(F.count(F.lit(1)).alias("n"))
+    columns = [c for c in rows.columns if c != FILE_DAY]
+    known = rows.where(F.col(id_col).isNotNull())
+    per_file = known.groupBy(id_col, FILE_DAY).agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.struct(*columns)).alias("_row")
     )
     per_id = per_file.groupBy(id_col).agg(
         F.min(FILE_DAY).alias("_first"),
-        F.max(FILE_DAY).alias("_last"),
         F.count(F.lit(1)).alias("_files"),
         F.max(F.struct((F.col("n") > 1).alias("several"), FILE_DAY)).alias("_repeat"),
+        F.max_by("_row", FILE_DAY).alias("_new"),
     )
     again = materialize(per_id.where(F.col("_files") > 1), f"{folder}/again")
     if again.isEmpty():
@@ -110,17 +113,9 @@ def _latest_versions(rows: DataFrame, id_col: str, folder: str) -> DataFrame:
     clash = again.where(F.col("_repeat.several") & (F.col(f"_repeat.{FILE_DAY}") > F.col("_first")))
     if not clash.isEmpty():
         raise UpsertConflict(f"several rows of one file share a stored {id_col}")
-    columns = [c for c in rows.columns if c != FILE_DAY]
-    span = again.select(id_col, "_first", "_last")
-    newest = (
-        rows.join(span, id_col)
-        .where(F.col(FILE_DAY) == F.col("_last"))
-        .select(id_col, F.struct(*columns).alias("_new"))
-    )
-    return (
-        rows.join(span, id_col, "left")
+    merged = (
+        known.join(again.select(id_col, "_first", "_new"), id_col, "left")
         .where(F.col("_first").isNull() | (F.col(FILE_DAY) == F.col("_first")))
-        .join(newest, id_col, "left")
         .select(
             *(
                 F.when(F.col("_new").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c)
@@ -128,3 +123,4 @@ def _latest_versions(rows: DataFrame, id_col: str, folder: str) -> DataFrame:
             )
         )
     )
+    return merged.unionByName(rows.where(F.col(id_col).isNull()).select(*columns))

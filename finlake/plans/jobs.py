@@ -13,7 +13,7 @@ from finlake.operators.maintenance import create, replace_days
 from finlake.operators.reports import REPORTS, Report, get_report
 from finlake.plans.ingest import ingest, ingest_range
 from finlake.sources.daily_csv import SPECS, SourceSpec
-from finlake.sources.lake import Lake, read_table, table_exists
+from finlake.sources.lake import Lake, path_exists, read_table, table_exists
 
 
 def open_source(spark: SparkSession, lake: Lake, spec: SourceSpec) -> DataFrame:
@@ -22,6 +22,22 @@ def open_source(spark: SparkSession, lake: Lake, spec: SourceSpec) -> DataFrame:
     return read_table(spark, path, spec.date_col, lake.fmt, spec.struct())
 
 
+def open_days(spark: SparkSession, lake: Lake, spec: SourceSpec, days: list) -> DataFrame:
+    """A cleaned table of which only some days are wanted.
+
+    For a few days only their partitions are listed; for more, listing the whole
+    table once is cheaper. The caller filters in either case.
+    """
+    path, schema = lake.silver_path(spec.domain, spec.table), spec.struct()
+    if lake.fmt == "delta" or schema is None or len(days) > 32:
+        return open_source(spark, lake, spec)
+    paths = [p for p in (f"{path}/{spec.date_col}={day}" for day in days) if path_exists(spark, p)]
+    if not paths:
+        return open_source(spark, lake, spec)
+    reader = spark.read.option("basePath", path).schema(schema)
+    return reader.parquet(*paths).select(*schema.fieldNames())
+
+
 def build_report(
     spark: SparkSession,
     lake: Lake,
@@ -33,9 +49,12 @@ def build_report(
     report = get_report(report)
     frames = []
     for name in report.sources:
-        frame = open_source(spark, lake, specs[name])
-        if days is not None:
-            frame = frame.where(F.col(specs[name].date_col).isin(parse_days(days)))
+        spec = specs[name]
+        if days is None:
+            frame = open_source(spark, lake, spec)
+        else:
+            wanted = parse_days(days)
+            frame = open_days(spark, lake, spec, wanted).where(F.col(spec.date_col).isin(wanted))
         frames.append(frame)
     return report.build(*frames)
 
@@ -59,12 +78,13 @@ def refresh_gold(
     return {}
 
 
-def _chains(step) -> None:
-    """Run one chain of jobs per report side by side; the chains share no table."""
-    with ThreadPoolExecutor(len(REPORTS)) as pool:
-        running = [pool.submit(step, report) for report in REPORTS.values()]
-    for chain in running:
-        chain.result()
+def _side_by_side(step, things: Iterable) -> None:
+    """Run jobs that share no table at the same time; the first error is raised once all are done."""
+    things = list(things)
+    with ThreadPoolExecutor(len(things)) as pool:
+        running = [pool.submit(step, thing) for thing in things]
+    for job in running:
+        job.result()
 
 
 def run_day(
@@ -73,11 +93,10 @@ def run_day(
     """Ingest every source for one day and refresh each report once its sources are in."""
 
     def step(report: Report) -> None:
-        for name in report.sources:
-            ingest(spark, lake, specs[name], day)
+        _side_by_side(lambda name: ingest(spark, lake, specs[name], day), report.sources)
         refresh_gold(spark, lake, report, day, specs)
 
-    _chains(step)
+    _side_by_side(step, REPORTS.values())
 
 
 def backfill(
@@ -101,8 +120,7 @@ def backfill(
         return
 
     def step(report: Report) -> None:
-        for name in report.sources:
-            ingest_range(spark, lake, specs[name], days)
+        _side_by_side(lambda name: ingest_range(spark, lake, specs[name], days), report.sources)
         refresh_gold(spark, lake, report, days, specs)
 
-    _chains(step)
+    _side_by_side(step, REPORTS.values())

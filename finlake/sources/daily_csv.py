@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.functions.days import Day, file_token, parse_days
-from finlake.sources.lake import Lake
+from finlake.sources.lake import Lake, path_exists, read_head
 
 FILE_DAY = "_file_day"
 
@@ -96,8 +96,17 @@ def day_path(lake: Lake, spec: SourceSpec, day: Day) -> str:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file (or folder of part files); raises if it is missing."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
+    """Column names of one file (or folder of part files); raises if it is missing or has no byte.
+
+    A day without rows still has a header. An empty file is a broken delivery, and
+    taking it for an empty day would delete the day that is stored.
+    """
+    if not path_exists(spark, path):
+        spark.read.csv(path)  # raises Spark's own error
+    line = read_head(spark, path)
+    if line is None or not line.strip("\ufeff "):
+        raise ValueError(f"{path} is empty, it does not even have a header")
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")])))
 
 
 def _scan(
@@ -110,8 +119,6 @@ def _scan(
     """
     declared = spec.struct()
     known = {} if declared is None else {f.name.lower(): f for f in declared}
-    if not header:
-        return spark.createDataFrame([], declared or T.StructType())
     inferred = {}
     if any(name.lower() not in known for name in header):
         sample = spark.read.option("header", True).option("inferSchema", True).csv(paths)
@@ -138,8 +145,7 @@ def read_days(
     the range keeps its place; usually that is a single scan.
     """
     paths = [day_path(lake, spec, day) for day in parse_days(days)]
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda path: _header(spark, path), paths))
+    headers = [_header(spark, path) for path in paths]
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, header in zip(paths, headers):
         groups.setdefault(header, []).append(path)
@@ -147,8 +153,7 @@ def read_days(
     return [
         _scan(spark, spec, same, header).withColumn(FILE_DAY, F.to_date(token, "yyyy_MM_dd"))
         for header, same in groups.items()
-        if header
-    ] or [_scan(spark, spec, paths, ()).withColumn(FILE_DAY, F.lit(None).cast("date"))]
+    ]
 
 
 def read_day(spark: SparkSession, lake: Lake, spec: SourceSpec, day: Day) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,53 @@ def read_table(
     return table.select(*columns)
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Leave the marker of a finished write, also where Spark is set not to."""
+    fs, target = _file_system(spark, path)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")
+    if not fs.exists(marker):
+        fs.create(marker).close()
+
+
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    date_col: str,
+    days: Iterable[date | None],
+    schema: T.StructType,
+) -> DataFrame:
+    """Some days of a table with all columns that their files hold; no other file is opened.
+
+    The columns of ``schema`` come first, with its types.
+    """
+    names = ["__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat() for day in days]
+    paths = [f"{path}/{date_col}={name}" for name in names]
+    found = spark.read.option("mergeSchema", True).parquet(*paths).schema
+    known = {f.name.lower() for f in schema}
+    new = [f for f in found if f.name.lower() not in known]
+    whole = T.StructType([*schema.fields, *new])
+    return spark.read.option("basePath", path).schema(whole).parquet(*paths).select(*whole.fieldNames())
+
+
+def read_head(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, or of the first file of a folder that has any; None if all are empty.
+
+    Read by the driver through the file system, without a Spark job. A missing file raises.
+    """
+    fs, target = _file_system(spark, path)
+    entry = fs.getFileStatus(target)
+    entries = sorted(fs.listStatus(target), key=lambda e: e.getPath().getName()) if entry.isDirectory() else [entry]
+    for part in entries:
+        if part.getLen() and not part.getPath().getName().startswith(("_", ".")):
+            text = spark._jvm.java.io.InputStreamReader(fs.open(part.getPath()), "UTF-8")
+            lines = spark._jvm.java.io.BufferedReader(text)
+            try:
+                return lines.readLine()
+            finally:
+                lines.close()
+    return None
+
+
 @contextmanager
 def scratch(spark: SparkSession, near: str) -> Iterator[str]:
     """A folder for intermediate tables, removed at the end.
