@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import importlib
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake import Lake, backfill, ingest, refresh_gold, run_day
+from finlake import Lake, backfill, ingest, ingest_range, refresh_gold, run_day
 from finlake.operators import explore, maintenance, summaries
 from finlake.operators.reports import REPORTS
 from finlake.sources.lake import materialize, read_table
@@ -106,8 +108,18 @@ def product_summary_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fresh_lake(spark: SparkSession) -> Lake:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return Lake.at(f"{shared or tempfile.gettempdir()}/finlake_query_{uuid.uuid4().hex}")
+    """A lake of its own in a folder that all executors share, removed when this process ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{shared.rstrip('/')}/finlake_query_{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, root)
+    return Lake.at(root)
+
+
+def _remove(spark: SparkSession, root: str) -> None:
+    """Best effort: the session may have ended before."""
+    with contextlib.suppress(Exception):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def _sales_table(spark: SparkSession, sf_dir: str) -> str:
@@ -184,6 +196,55 @@ def csv_day_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.silver_path(spec.domain, spec.table), spec.date_col)
 
 
+def csv_inferred_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days of a source whose columns are not declared; one day comes a second time."""
+    lake, days = raw_lake(spark, sf_dir, "sales")
+    spec = replace(LAKE_SPECS["sales"], schema=None)
+    ingest_range(spark, lake, spec, days)
+    ingest(spark, lake, spec, DAY)
+    return read_table(spark, lake.silver_path(spec.domain, spec.table), spec.date_col)
+
+
+def stored_report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary as it is stored, built from cleaned tables."""
+    lake = _fresh_lake(spark)
+    for source in REPORTS[name].sources:
+        spec = LAKE_SPECS[source]
+        rows = maintenance.conform(view(spark, sf_dir, LAKE_VIEWS[source]), spec.struct())
+        maintenance.create(rows, lake.silver_path(spec.domain, spec.table), spec.date_col)
+    refresh_gold(spark, lake, name, DAY, LAKE_SPECS)
+    return explore.open_report(spark, lake, name)
+
+
+def stored_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_report(spark, sf_dir, "products")
+    frames = [
+        explore.option_values(stored, column).select(
+            F.lit(column).alias("option"), F.col(column).cast("string").alias("value")
+        )
+        for column in ("CodigoData", "FilialId", "ProdutoId")
+    ]
+    first = explore.default_branch(stored).select(F.lit("default").alias("option"), F.col("FilialId").alias("value"))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(first)
+
+
+def selection_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a selection of no, one and several branches has."""
+    products = _products(spark, sf_dir)
+    frames = [
+        explore.filter_report(products, "products", branches, FIRST, LAST).agg(
+            F.lit(len(branches)).alias("branches"), F.count("*").alias("n_rows")
+        )
+        for branches in ([], BRANCHES[:1], BRANCHES)
+    ]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def in_doubles(spark: SparkSession, sf_dir: str, name: str, amount: str) -> DataFrame:
+    """A source whose amount is a double, as files have it."""
+    return view(spark, sf_dir, name).withColumn(amount, F.col(amount).cast("double"))
+
+
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _fresh_lake(spark)
     for name in ("returns", "stock", "sales"):
@@ -200,17 +261,24 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.open_report(spark, lake, "products")
 
 
+#: What the product summary holds beside its measure.
+MORE_MEASURES = ("TotalDevolvido", "TotalEmEstoque", "TotalValorVendido", "TicketMedio")
+
+
 def all_reports(spark: SparkSession, lake: Lake) -> DataFrame:
-    frames = [
-        explore.open_report(spark, lake, name).select(
-            F.lit(name).alias("report"),
-            "CodigoData",
-            "FilialId",
-            F.col(next(k for k in report.keys if k not in ("CodigoData", "FilialId"))).alias("item"),
-            F.col(report.measure).cast("double").alias("total"),
-        )
-        for name, report in REPORTS.items()
-    ]
+    """The three stored summaries, every column of them."""
+
+    def columns(name: str, stored: DataFrame) -> DataFrame:
+        report = REPORTS[name]
+        item = next(k for k in report.keys if k not in ("CodigoData", "FilialId"))
+        more = [
+            (F.col(c) if c in stored.columns else F.lit(None)).cast("double").alias(c)
+            for c in MORE_MEASURES
+        ]
+        total = F.col(report.measure).cast("double").alias("total")
+        return stored.select(F.lit(name).alias("report"), "CodigoData", "FilialId", F.col(item).alias("item"), total, *more)
+
+    frames = [columns(name, explore.open_report(spark, lake, name)) for name in REPORTS]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
@@ -289,9 +357,24 @@ def _report_queries() -> dict[str, Query]:
         "product_report_rows_all": lambda s, d: explore.filter_report(
             _products(s, d), "products", BRANCHES, FIRST, LAST
         ),
-        "empty_selection": lambda s, d: explore.filter_report(
-            _products(s, d), "products", [], FIRST, LAST
+        "empty_selection": selection_sizes,
+        "stored_product_series": lambda s, d: explore.report_series(
+            stored_report(s, d, "products"), "products", BRANCHES, FIRST, LAST, PRODUCT
+        ),
+        "stored_tax_rows": lambda s, d: explore.filter_report(
+            stored_report(s, d, "taxes"), "taxes", BRANCHES, FIRST, LAST
+        ),
+        "stored_options": stored_options,
+        "sales_summary_double": lambda s, d: summaries.sales_summary(
+            in_doubles(s, d, "sales", "valor_unitario")
+        ),
+        "freight_summary_double": lambda s, d: summaries.freight_summary(
+            in_doubles(s, d, "freight", "valor_frete")
+        ),
+        "tax_summary_double": lambda s, d: summaries.tax_summary(
+            in_doubles(s, d, "taxes", "valor_pago")
         ),
+        "csv_inferred_ingest": csv_inferred_ingest,
         "tax_series": lambda s, d: explore.report_series(
             _taxes(s, d), "taxes", BRANCHES, FIRST, LAST
         ),
@@ -395,16 +478,37 @@ def _report_sql() -> dict[str, str]:
     )"""
     replaced = f"select * from sales where {other_days} union all select * from {restated}"
     two_days = f"date '{DAY}', date '{NEXT_DAY}'"
+    more = ", ".join(f'cast("{c}" as double) as "{c}"' for c in MORE_MEASURES)
     reports = f"""
         select 'products' as report, "CodigoData", "FilialId", "ProdutoId" as item,
-               cast("TotalQuantidadeVendida" as double) as total from ({products})
+               cast("TotalQuantidadeVendida" as double) as total, {more} from ({products})
         union all
-        select 'freight', "CodigoData", "FilialId", "Transportadora", "TotalFretePago"
+        select 'freight', "CodigoData", "FilialId", "Transportadora", "TotalFretePago", null, null, null, null
         from ({_FREIGHT.format(freight="freight_by_month")})
         union all
-        select 'taxes', "CodigoData", "FilialId", "TipoImposto", "TotalImpostoPago"
+        select 'taxes', "CodigoData", "FilialId", "TipoImposto", "TotalImpostoPago", null, null, null, null
         from ({_TAXES})
     """
+    product_series = oracle(
+        _series(
+            products,
+            "TotalQuantidadeVendida",
+            BRANCHES,
+            'cast(coalesce(sum("TotalQuantidadeVendida"), 0) as bigint)',
+            f"and \"ProdutoId\" = '{PRODUCT}'",
+        ),
+        *_PRODUCT_VIEWS,
+    )
+    options = " union all ".join(
+        f"""select distinct '{column}' as option, cast("{column}" as varchar) as value from ({products})"""
+        for column in ("CodigoData", "FilialId", "ProdutoId")
+    )
+    sizes = " union all ".join(
+        f"""select {n} as branches, count(*) as n_rows from ({products})
+        where {"false" if not n else '"FilialId" in (' + _listed(BRANCHES[:n]) + ")"}
+          and "CodigoData" between date '{FIRST}' and date '{LAST}'"""
+        for n in range(3)
+    )
     report_views = (*_PRODUCT_VIEWS, "freight_by_month", "taxes")
     euros = "coalesce(cast(sum(cast({} as decimal(22,6))) as double), 0)".format
     return {
@@ -430,23 +534,27 @@ def _report_sql() -> dict[str, str]:
         "product_report_rows_all": oracle(
             f"select * from ({products}) where {in_range}", *_PRODUCT_VIEWS
         ),
-        "empty_selection": oracle(f"select * from ({products}) where false", *_PRODUCT_VIEWS),
+        "empty_selection": oracle(sizes, *_PRODUCT_VIEWS),
+        "stored_product_series": product_series,
+        "stored_tax_rows": oracle(f"select * from ({_TAXES}) where {in_range}", "taxes"),
+        "stored_options": oracle(
+            f"""{options} union all select 'default', min("FilialId") from ({products})""", *_PRODUCT_VIEWS
+        ),
+        "sales_summary_double": oracle(sales, "sales"),
+        "freight_summary_double": oracle(freight, "freight"),
+        "tax_summary_double": oracle(_TAXES, "taxes"),
+        "csv_inferred_ingest": oracle(
+            "select data_venda, produto_id, filial_id, cast(quantidade as integer) as quantidade, "
+            "cast(valor_unitario as double) as valor_unitario from sales where data_venda is not null",
+            "sales",
+        ),
         "tax_series": oracle(
             _series(_TAXES, "TotalImpostoPago", BRANCHES, euros('"TotalImpostoPago"')), "taxes"
         ),
         "freight_series": oracle(
             _series(freight, "TotalFretePago", NATIONS, euros('"TotalFretePago"')), "freight"
         ),
-        "product_series": oracle(
-            _series(
-                products,
-                "TotalQuantidadeVendida",
-                BRANCHES,
-                'cast(coalesce(sum("TotalQuantidadeVendida"), 0) as bigint)',
-                f"and \"ProdutoId\" = '{PRODUCT}'",
-            ),
-            *_PRODUCT_VIEWS,
-        ),
+        "product_series": product_series,
         "branch_options": oracle(f'select distinct "FilialId" from ({freight})', "freight"),
         "product_options": oracle(
             f'select distinct "ProdutoId" from ({products})', *_PRODUCT_VIEWS
