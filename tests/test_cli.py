@@ -14,3 +14,12 @@ def test_backfill_then_run_day(spark, tmp_path):
     assert len(before) == 3
     cli.main(["run-day", str(tmp_path), DAYS[1]])
     assert bag(open_report(spark, lake, "taxes")) == before
+
+
+def test_one_source_and_one_summary(spark, tmp_path):
+    lake = Lake.at(str(tmp_path))
+    clean_files(tmp_path, lake)
+    for day in DAYS:
+        cli.main(["ingest", str(tmp_path), "taxes", day])
+    cli.main(["refresh", str(tmp_path), "taxes", *DAYS])
+    assert len(bag(open_report(spark, lake, "taxes"))) == 3

@@ -219,3 +219,49 @@ def test_random_upserts_equal_the_model(spark, table, frame, seed):
         m.upsert(spark, path, frame(batch, SCHEMA), "id", "day")
         stored = expected
         assert Counter(rows_of(spark, path)) == Counter(as_bag(frame, stored))
+
+
+def test_days_far_apart_are_replaced_in_one_call(spark, frame, tmp_path):
+    path = str(tmp_path / "far")
+    rows = frame([("1930-01-01", 1), ("2025-01-01", 2), ("2025-01-02", 3)], "day date, x int")
+    m.create(rows, path, "day")
+    counts = m.replace_days(frame([("1930-01-01", 9)], "day date, x int"), path, "day", ["1930-01-01", "2025-01-01"])
+    assert counts == {"replaced": 1, "stray": 0}
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [3, 9]
+    with pytest.raises(ValueError, match="no days"):
+        m.replace_days(rows, path, "day", [])
+
+
+@pytest.mark.parametrize(
+    "value, source, target, fits",
+    [
+        ("1", "int", "bigint", True),
+        ("1", "int", "double", True),
+        ("1.5D", "double", "int", False),
+        ("2.0D", "double", "int", True),
+        ("300", "int", "tinyint", False),
+        ("1.25BD", "decimal(5,2)", "decimal(5,1)", False),
+        ("1.25BD", "decimal(5,2)", "double", True),
+        ("'007'", "string", "int", True),
+        ("'x'", "string", "int", False),
+        ("timestamp'2025-01-01 10:00:00'", "timestamp", "date", False),
+        ("null", "double", "int", True),
+    ],
+)
+def test_casts_keep_values_or_raise(spark, value, source, target, fits):
+    batch = spark.sql(f"select cast({value} as {source}) as amount")
+    fitted = m.conform(batch, spark.createDataFrame([], f"amount {target}").schema)
+    if fits:
+        assert fitted.collect()
+    else:
+        with pytest.raises(Exception, match="amount: .* does not fit"):
+            fitted.collect()
+
+
+def test_upsert_keeps_columns_that_only_some_days_have(spark, frame, tmp_path):
+    path = str(tmp_path / "evolved")
+    m.create(frame([("2025-01-01", 1)], "day date, id int"), path, "day")
+    m.append(frame([("2025-01-02", 2, "a"), ("2025-01-02", 3, "b")], "day date, id int, note string"), path, "day")
+    m.upsert(spark, path, frame([("2025-01-02", 2, "c")], "day date, id int, note string"), "id", "day")
+    stored = spark.read.option("mergeSchema", True).parquet(path)
+    assert sorted((r.id, r.note or "") for r in stored.collect()) == [(1, ""), (2, "c"), (3, "b")]

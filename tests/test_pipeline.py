@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from finlake import SPECS, Lake, backfill, ingest, ingest_range, refresh_gold, run_day
 from finlake.operators.explore import open_report
 from finlake.operators.maintenance import UpsertConflict
-from finlake.sources.daily_csv import day_path, read_day
+from finlake.sources.daily_csv import day_path, read_day, read_days
 from finlake.sources.lake import read_table
 
 from conftest import bag
@@ -212,3 +212,85 @@ def test_delta_needs_its_package(spark, tmp_path):
     clean_files(tmp_path, lake)
     with pytest.raises(RuntimeError, match="Delta"):
         ingest(spark, lake, SPECS["sales"], DAYS[0])
+
+
+def inferred(name):
+    return replace(SPECS[name], schema=None)
+
+
+def test_inferred_types_never_lose_digits(spark, lake, tmp_path):
+    for day, price in zip(DAYS, ("100", "100.5")):
+        put(tmp_path, lake, "sales", day, SALES, f"{day},1,SP01,2,{price}")
+    spec = inferred("sales")
+    ingest(spark, lake, spec, DAYS[0])
+    with pytest.raises(Exception, match="valor_unitario: 100.5 does not fit int"):
+        ingest(spark, lake, spec, DAYS[1])
+    put(tmp_path, lake, "sales", DAYS[1], SALES, f"{DAYS[1]},1,SP01,2,7.0")
+    ingest(spark, lake, spec, DAYS[1])  # a whole number fits
+    stored = spark.read.parquet(lake.silver_path(spec.domain, spec.table))
+    assert sorted(r.valor_unitario for r in stored.collect()) == [7, 100]
+
+
+def test_a_range_takes_the_common_type(spark, lake, tmp_path):
+    for day, price in zip(DAYS, ("100", "100.5")):
+        put(tmp_path, lake, "sales", day, SALES, f"{day},1,SP01,2,{price}")
+    spec = inferred("sales")
+    ingest_range(spark, lake, spec, DAYS[:2])
+    stored = spark.read.parquet(lake.silver_path(spec.domain, spec.table))
+    assert sorted(r.valor_unitario for r in stored.collect()) == [100.0, 100.5]
+
+
+def test_a_new_column_never_loses_digits(spark, lake, tmp_path):
+    put(tmp_path, lake, "sales", DAYS[0], SALES + ",peso", f"{DAYS[0]},1,SP01,2,1.0,1")
+    put(tmp_path, lake, "sales", DAYS[1], SALES + ",peso", f"{DAYS[1]},1,SP01,2,1.0,1.9")
+    ingest(spark, lake, SPECS["sales"], DAYS[0])
+    with pytest.raises(Exception, match="peso: 1.9 does not fit int"):
+        ingest(spark, lake, SPECS["sales"], DAYS[1])
+
+
+def test_an_empty_file_is_no_empty_day(spark, lake, tmp_path):
+    for day in DAYS[:2]:
+        put(tmp_path, lake, "sales", day, SALES, f"{day},1,SP01,2,1.0")
+        ingest(spark, lake, SPECS["sales"], day)
+    (tmp_path / day_path(lake, SPECS["sales"], DAYS[0])).write_bytes(b"")
+    with pytest.raises(ValueError, match="is empty"):
+        ingest(spark, lake, SPECS["sales"], DAYS[0])
+    with pytest.raises(ValueError, match="is empty"):
+        ingest_range(spark, lake, SPECS["sales"], DAYS[:2])
+    assert silver(spark, lake, "sales").count() == 2
+
+
+def test_no_days_is_an_error(spark, lake):
+    with pytest.raises(ValueError, match="no days"):
+        backfill(spark, lake, [])
+
+
+def test_headers_need_no_job_per_file(spark, lake, tmp_path):
+    days = [f"2025-06-{n:02d}" for n in range(1, 13)]
+    for day in days:
+        put(tmp_path, lake, "sales", day, SALES, f"{day},1,SP01,2,1.0")
+    counts = []
+    for some in (days[:2], days):
+        group = f"headers-{len(some)}"
+        spark.sparkContext.setJobGroup(group, "")
+        frames = read_days(spark, lake, SPECS["sales"], some)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        assert sum(f.count() for f in frames) == len(some)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1]
+
+
+def test_a_finished_summary_is_complete_without_sparks_marker(spark, lake, tmp_path):
+    for day in DAYS[:2]:
+        put(tmp_path, lake, "taxes", day, "data_pagamento,tipo_imposto,valor_pago,filial_id", f"{day},ISS,1.0,SP01")
+        ingest(spark, lake, SPECS["taxes"], day)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        refresh_gold(spark, lake, "taxes", DAYS[0])
+        table = tmp_path / "gold" / "tributario" / "tb_gd_resumo_impostos_pagos"
+        other = {f: f.stat().st_mtime_ns for f in table.glob(f"CodigoData={DAYS[1]}/*.parquet")}
+        refresh_gold(spark, lake, "taxes", DAYS[0])
+        assert {f: f.stat().st_mtime_ns for f in table.glob(f"CodigoData={DAYS[1]}/*.parquet")} == other
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from finlake import Lake
 from finlake.operators import explore, maintenance, summaries
+from finlake.plans.ingest import _latest_versions
 from finlake.plans.jobs import build_report
 from finlake.sources.daily_csv import SPECS
 
@@ -81,3 +83,51 @@ def test_money_is_added_without_a_decimal_per_row(plan, frame):
     partial = plan(summaries.tax_summary(rows)).split("partial_", 1)[1].splitlines()[0]
     # A decimal is made only of what a double holds beyond six places.
     assert "decimal" in partial and "decimal" not in re.sub(r"CASE WHEN .*? END", "", partial)
+
+
+def final_plans(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = store.executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+
+
+def test_a_hot_stored_id_is_split(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    rows = spark.range(60_000, numPartitions=6).selectExpr(
+        "date_add(date'2025-01-01', cast(id % 3 as int)) as day",
+        "if(id % 2 = 0, 'hot', cast(id as string)) as id",
+        "uuid() as note",
+    )
+    maintenance.create(rows, path, "day")
+    batch = spark.sql("select date'2025-01-01' as day, id, 'x' as note from values ('hot'), ('1'), ('new') as t(id)")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    seen = len(final_plans(spark))
+    try:
+        counts = maintenance.upsert(spark, path, batch, "id", "day")
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert counts["matched_ids"] == 2 + 2  # an id and day at a time
+    searches = [p for p in final_plans(spark)[seen:] if "/hits" in p and "_copies" in p]
+    assert any("skew=true" in plan for plan in searches)
+
+
+def test_rows_without_an_id_pass_by_the_join(spark, tmp_path, plan):
+    rows = spark.createDataFrame(
+        [("a", 1, DAY), ("a", 2, "2025-04-16"), (None, 3, DAY)], "id string, x int, _file_day string"
+    ).withColumn("_file_day", F.col("_file_day").cast("date"))
+    merged = _latest_versions(rows, "id", str(tmp_path / "folder"))
+    text = plan(merged).split("\n\n")[0]
+    assert text.count("Join") == 1 and "Union" in text
+    assert sorted((r.id or "", r.x) for r in merged.collect()) == [("", 3), ("a", 2)]

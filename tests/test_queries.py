@@ -12,6 +12,18 @@ NAMES = [n for n in contract.queries() if not n.startswith("op") and n != "pipel
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """These run as in production, with code generation."""
+    quick = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in quick}
+    for key, value in quick.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="module")
 def engine():
     connection = duckdb.connect()

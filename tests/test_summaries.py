@@ -1,3 +1,5 @@
+import pytest
+
 from finlake.operators import summaries
 
 from conftest import bag
@@ -75,3 +77,40 @@ def test_sql_and_dataframe_freight_agree_and_ignore_case(frame):
     by_sql = summaries.freight_summary_sql(freight)
     assert bag(by_sql) == bag(summaries.freight_summary(freight))
     assert by_sql.first().TotalFretePago == 3.5001
+
+
+TAXES = "data_pagamento date, tipo_imposto string, valor_pago double, filial_id string"
+
+
+def taxes(spark, amounts, parts=3):
+    values = spark.createDataFrame([(float(a),) for a in amounts], "valor_pago double").repartition(parts)
+    return values.selectExpr("date'2025-04-15' as data_pagamento", "'ISS' as tipo_imposto", "valor_pago", "'SP01' as filial_id")
+
+
+def total(frame):
+    return [row.TotalImpostoPago for row in summaries.tax_summary(frame).collect()]
+
+
+def test_small_amounts_add_up(spark):
+    many = spark.range(100_000).selectExpr(
+        "date'2025-04-15' as data_pagamento", "'ISS' as tipo_imposto", "4e-7D as valor_pago", "'SP01' as filial_id"
+    )
+    assert total(many) == [0.04]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_what_cannot_be_added_raises(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for amounts in ([1.0, float("nan")], [float("inf")], [9e18, 9e18], [-1e300]):
+            with pytest.raises(Exception, match="cannot add|too large"):
+                total(taxes(spark, amounts))
+        assert total(taxes(spark, [0.1, 0.2, -0.05])) == [0.25]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    amounts = [((-1) ** i) * (i % 97) / 7 + 1e-9 * i for i in range(3000)]
+    assert len({tuple(total(taxes(spark, amounts, parts))) for parts in (1, 2, 7)}) == 1
