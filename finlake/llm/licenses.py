@@ -49,33 +49,34 @@ WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
 def _templates(spark: SparkSession) -> DataFrame:
+    """The fixed list (key, passage, n, license), with keys below zero."""
     listed = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("passage")) for name, text in TEMPLATES))
-    return spark.range(1).select(F.explode(listed).alias("t")).select("t.*")
+    rows = spark.range(1).select(F.posexplode(listed).alias("i", "t"))
+    return rows.select((-1 - F.col("i")).cast("long").alias("key"), "t.passage", F.lit(1).cast("long").alias("n"), "t.license")
 
 
 def _terms(passage: Column) -> Column:
     return F.regexp_extract_all(F.lower(passage), F.lit(WORD), F.lit(0))
 
 
-def _scored(distinct: DataFrame) -> DataFrame:
+def _scored(distinct: DataFrame, work: Workspace) -> DataFrame:
     """(key, license, score): the best template of each distinct passage (key, passage, n)."""
-    spark = distinct.sparkSession
-    templates = _templates(spark).select(
-        F.concat(F.lit("t"), F.sha2("passage", 256)).alias("key"), "passage", F.lit(1).cast("long").alias("n"), "license"
-    )
-    both = distinct.withColumn("license", F.lit(None).cast("string")).unionByName(templates)
+    templates = _templates(distinct.sparkSession)
+    both = distinct.unionByName(templates.drop("license"))
     total = both.agg(F.sum("n")).first()[0]
-    terms = both.select("key", "n", "license", F.explode(_terms(F.col("passage"))).alias("term"))
-    terms = terms.groupBy("key", "n", "license", "term").agg(F.count("*").alias("tf"))
+    terms = both.select("key", "n", F.explode(_terms(F.col("passage"))).alias("term"))
+    terms = work.save(terms.groupBy("key", "n", "term").agg(F.count("*").alias("tf")))
     spread = terms.groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1
-    weights = terms.join(spread, "term").select("key", "license", "term", (F.col("tf") * idf).alias("w"))
+    weights = work.save(terms.join(spread, "term").select("key", "term", (F.col("tf") * idf).alias("w")))
     norms = weights.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    one = weights.where("license is null").select("key", "term", "w")
-    two = weights.where("license is not null").select(F.col("key").alias("template"), "license", "term", F.col("w").alias("tw"))
-    dots = one.join(two, "term").groupBy("key", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    one = weights.where("key >= 0")
+    two = weights.where("key < 0").select(F.col("key").alias("template"), "term", F.col("w").alias("tw"))
+    known = norms.where("key < 0").select(F.col("key").alias("template"), F.col("norm").alias("tnorm"))
+    known = known.join(templates.select(F.col("key").alias("template"), "license"), "template")
+    dots = one.join(two, "term").groupBy("key", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)
-    scored = dots.join(norms, "key").join(norms.select(F.col("key").alias("template"), F.col("norm").alias("tnorm")), "template")
+    scored = dots.join(norms, "key").join(known, "template")
     best = scored.groupBy("key").agg(F.max(F.struct(cosine.alias("score"), "license")).alias("best"))
     return best.select("key", "best.license", "best.score")
 
@@ -97,10 +98,12 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", least
             F.array_distinct(F.transform(whole, F.trim)).alias("_passages"),
         )
     )
-    held = base.select("_row", "_dir", "_is_file", F.explode("_passages").alias("passage")).withColumn("key", F.sha2("passage", 256))
-    distinct = held.groupBy("key").agg(F.first("passage").alias("passage"), F.count("*").alias("n"))
-    best = work.save(_scored(work.save(distinct)).where(F.col("score") >= least))
-    own = held.join(best, "key").groupBy("_row", "_dir", "_is_file").agg(F.max(F.struct("score", "license")).alias("own"))
+    held = base.select("_row", "_dir", "_is_file", F.explode("_passages").alias("passage"))
+    distinct = held.groupBy("passage").agg(F.count("*").alias("n"))
+    distinct = work.save(distinct.withColumn("key", F.monotonically_increasing_id()))
+    best = _scored(distinct, work).where(F.col("score") >= least)
+    best = work.save(best.join(distinct.select("key", "passage"), "key").drop("key"))
+    own = held.join(best, "passage").groupBy("_row", "_dir", "_is_file").agg(F.max(F.struct("score", "license")).alias("own"))
     own = work.save(own)
     licensed = own.where("_is_file").groupBy(F.col("_dir").alias("above")).agg(F.max("own").alias("best"))
     dirs = base.where("_dir is not null").select("_dir").distinct()
