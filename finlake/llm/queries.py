@@ -165,6 +165,74 @@ OP6_SQL = """
     from d
 """
 
+_NOTICES = ", ".join(
+    f"({-1 - i}, '{text.replace(chr(39), chr(39) * 2)}', '{name}')" for i, (name, text) in enumerate(licenses.TEMPLATES)
+)
+
+OP7_SQL = rf"""
+    with files as (
+        select doc_id, source || '/p' || cast(doc_id // 1000 as varchar) as dir,
+               case when doc_id % 1000 < 20 then 'LICENSE' else 'd' || cast(doc_id as varchar) end as name,
+               coalesce(text, '') as text
+        from documents
+    ), held as (
+        select distinct doc_id, dir, name, trim(line) as passage
+        from (select *, unnest(string_split(text, chr(10))) as line from files)
+        where regexp_matches(line, '{licenses.CUE}')
+        union
+        select doc_id, dir, name, trim(text) from files where name = 'LICENSE' and trim(text) <> ''
+    ), passages as (
+        select row_number() over () as key, passage, count(*) as n, cast(null as varchar) as license
+        from held group by passage
+        union all select key, passage, 1, license from (values {_NOTICES}) t(key, passage, license)
+    ), terms as (
+        select key, n, term, count(*) as tf
+        from (select key, n, unnest(regexp_extract_all(lower(passage), '{licenses.WORD}')) as term from passages)
+        group by all
+    ), weights as (
+        select key, term, tf * (ln((1 + (select sum(n) from passages)) / (1 + df)) + 1) as w
+        from terms join (select term, sum(n) as df from terms group by term) using (term)
+    ), norms as (select key, sqrt(sum(w * w)) as norm from weights group by key), best as (
+        select key, max({{'score': round(dot / (a.norm * b.norm), 6), 'license': license}}) as best
+        from (
+            select x.key, y.key as template, sum(x.w * y.w) as dot
+            from weights x join weights y using (term) where x.key > 0 and y.key < 0 group by all
+        ) join norms a using (key) join norms b on b.key = template
+        join (select key as template, license from passages where key < 0) using (template)
+        group by key
+    ), own as (
+        select doc_id, dir, name, max(best) as own
+        from held join passages using (passage) join best using (key)
+        where passages.key > 0 and best.score >= {licenses.LEAST} group by all
+    ), licensed as (select dir as above, max(own) as best from own where name = 'LICENSE' group by dir), inherited as (
+        select dir, max({{'depth': length(above), 'best': best, 'above': above}}) as up
+        from (select distinct dir from files) join licensed
+          on above = '' or dir = above or starts_with(dir, above || '/')
+        group by dir
+    )
+    select doc_id, dir || '/' || files.name as path,
+           coalesce(own.license, up.best.license) as license, coalesce(own.score, up.best.score) as score,
+           case when own is not null then 'own' when up is not null then 'inherited' end as found,
+           case when own is null and up is not null then up.above end as from_dir
+    from files left join (select doc_id, own from own) using (doc_id) left join inherited using (dir)
+"""
+
+OP10_SQL = """
+    with recursive v as (
+        select vec_id, cast(embedding as double[]) as e from embeddings
+        where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), good as (select *, sqrt(list_dot_product(e, e)) as norm from v where list_dot_product(e, e) > 0), links as (
+        select a.vec_id as a, b.vec_id as b from good a join good b
+          on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+        where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+    ), reached(vec_id, other) as (
+        select vec_id, vec_id from embeddings union select r.vec_id, b from reached r join links l on l.a = r.other
+    )
+    select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+    from (select vec_id, min(other) as component_id from reached group by vec_id)
+    left join (select a as vec_id, count(*) as n_links from links group by a) using (vec_id)
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -182,4 +250,6 @@ ORACLE: dict[str, str] = {
     "op3_jaccard": OP3_SQL,
     "op4_winnowing": OP4_SQL,
     "op6_warc": OP6_SQL,
+    "op7_licenses": OP7_SQL,
+    "op10_forest": OP10_SQL,
 }
