@@ -4,8 +4,9 @@ A tree splits its vectors at the median of a random projection, again and again,
 enough. Vectors within ``spill`` of a split go to both sides. Vectors are compared within leaves, exactly
 and in double precision; a pair of cosine ``threshold`` or more links, and links unite vectors.
 
-The splits of a tree are fitted on a sample of about ``sample`` rows drawn by a hash of the id (a
-documented bound); every vector is indexed. Two vectors with cosine c are ``sqrt(2 - 2c)`` apart, and no
+The splits of a tree are fitted on a sample of about ``sample`` rows drawn by a hash of the id, fewer
+where vectors are long, so that the sample takes 64 MB at most (documented bounds); every vector is
+indexed. Two vectors with cosine c are ``sqrt(2 - 2c)`` apart, and no
 further apart on any projection, so with a spill of that over the square root of the dimension few of
 them are parted, and several trees find almost all: recall is measured against brute force in the tests.
 
@@ -202,7 +203,7 @@ def near_vectors(
     )
     joinable = nodes.where("node is not null")
     count = joinable.count()
-    some = _unit(sampled(joinable, "node", sample).select("vector").toArrow().column(0).combine_chunks(), width)
+    some = _unit(sampled(joinable, "node", min(sample, (8 << 20) // width)).select("vector").toArrow().column(0).combine_chunks(), width)
     depth = max(0, int(np.ceil(np.log2(max(1, count) / leaf))))
     depth = min(depth, max(0, int(np.log2(max(1, len(some)) / 8))))  # a split rests on 8 rows of the sample or more
     rng = np.random.default_rng(seed)
