@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm import byte_bpe, jaccard, language, toxicity, winnow
-from finlake.llm.common import Workspace, held_out
+from finlake.llm.common import Workspace, bounded_batches, held_out
 from finlake.llm.queries import table, tokenizer
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = language.fit(docs)
     found = docs.withColumn("_found", language.label("text", model, docs))
     clear = (F.col("_found.lang_pred") != language.UNKNOWN) & (F.col("_found.score") >= 0.5)
@@ -33,6 +34,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id", 5, 0))
     model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
     scored = docs.withColumn("_score", toxicity.score("text", model, docs))
@@ -40,17 +42,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = jaccard.jaccard_components(docs, size=5, percent=80)
     copies = found.where("id <> component").select(F.col("id").alias("doc_id"))
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     found = winnow.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(found.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     import public_tokenizers
 
     rule = tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN

@@ -196,6 +196,7 @@ def encode_ids(text: str | Column, path: str, pattern: str) -> Column:
         for texts in batches:
             for ids in _encoded(texts, pairs):
                 yield pa.array(ids, pa.binary())
+        pairs.known.clear()  # the worker lives on
 
     return encode(text)
 
@@ -210,6 +211,7 @@ def round_trip(text: str | Column, path: str, pattern: str) -> Column:
             for ids in _encoded(texts, pairs):
                 decoded = pa.array(map(pairs.decode, ids), pa.binary())
                 yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+        pairs.known.clear()
 
     return both(text)
 

@@ -20,6 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/_work_{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sends Python workers at most so many rows at once; Spark's default suits short rows, and texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 class Workspace:
     """Intermediate tables of one run, written once and read back, so that no lineage is run twice.
 
@@ -141,7 +148,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in runs of about so many bytes of text, or of a single row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

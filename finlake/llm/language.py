@@ -134,7 +134,7 @@ def _label(texts: pa.Array, model: Model, switch: float) -> pa.Array:
     """The result of each text of an Arrow column."""
     words_of, scores, begin = [], [], 0
     batch = pa.record_batch({"text": texts})
-    for some in slices(iter([batch]), "text", 2 << 20):
+    for some in slices(iter([batch]), "text", 1 << 19):
         words = LetterWords(some.column("text").to_pylist())
         scores.append(word_scores(words, model))
         words_of.append((words.bounds, words.texts, words.starts, words.ends))
@@ -177,7 +177,7 @@ def label(text: str | Column, model: Model, df: DataFrame, switch: float = SWITC
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             if shared.value.languages and len(texts):
-                runs = slices(iter([pa.record_batch({"text": texts})]), "text", 16 << 20)
+                runs = slices(iter([pa.record_batch({"text": texts})]), "text", 4 << 20)
                 yield pa.concat_arrays([_label(run.column("text"), shared.value, switch) for run in runs])
             else:
                 nothing = {"lang_pred": UNKNOWN, "score": 0.0, "spans": []}

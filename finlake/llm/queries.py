@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm import byte_bpe, forest, html_text, jaccard, language, licenses, token_counts, toxicity, warc, winnow
-from finlake.llm.common import held_out
+from finlake.llm.common import bounded_batches, held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

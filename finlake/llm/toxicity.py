@@ -207,7 +207,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(model)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             found = scanner.features(batch.column("text").to_pylist())
             yield pa.record_batch({"toxic": batch.column("toxic"), **dict(zip(names, found.T))})
 
@@ -225,7 +225,7 @@ def score(text: str | Column, model: Model, df: DataFrame) -> Column:
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = Scanner(shared.value)
         for texts in batches:
-            runs = slices(iter([pa.record_batch({"text": texts})]), "text", 2 << 20)
+            runs = slices(iter([pa.record_batch({"text": texts})]), "text", 1 << 20)
             found = [scanner.scores(run.column("text").to_pylist()) for run in runs]
             yield pa.array(np.concatenate(found) if found else [], pa.float64())
 
