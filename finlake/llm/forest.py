@@ -16,14 +16,15 @@ none is gathered in one task, and a dense region costs what its number of links
 one vector with a weight until the end. Counts are summed by vector and links are kept only as far as
 they unite vectors; no list of pairs is made.
 
-Vectors that are null or empty, zero, of another length than most, or hold nulls or non-finite components
-link with nothing. Rows with a null id take part only through an equal vector; their component is null.
+Vectors link with vectors of their own length only; each length that occurs has a forest of its own.
+Vectors that are null or empty, zero, or hold nulls or non-finite components link with nothing. Rows with a null id take part only through an equal vector; their component is null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ TREES = 5
 LEAF = 256
 SAMPLE = 50_000
 PART = 2048
+LINKS = "a long, b long, links long"
 
 
 @dataclass(frozen=True)
@@ -179,6 +181,30 @@ def _compared(threshold: float, width: int):
     return compare
 
 
+def _links(
+    joinable: DataFrame, count: int, width: int, work: Workspace, threshold: float, trees: int, leaf: int, sample: int, seed: int
+) -> DataFrame:
+    """(a, b, links) of the vectors of one width: numbers of links by node, and links that unite nodes."""
+    some = _unit(sampled(joinable, "node", min(sample, (8 << 20) // width)).select("vector").toArrow().column(0).combine_chunks(), width)
+    depth = max(0, int(np.ceil(np.log2(max(1, count) / leaf))))
+    depth = min(depth, max(0, int(np.log2(max(1, len(some)) / 8))))  # a split rests on 8 rows of the sample or more
+    rng = np.random.default_rng(seed)
+    spill = float(np.sqrt(max(0.0, 2 - 2 * threshold) / width)) / 2
+    forest = [_grown(some, depth, rng) for _ in range(trees)]
+    placed = work.save(_assigned(joinable, forest, width, spill))
+    in_leaf = placed.withColumn("leaf", F.explode("leaves"))
+    parts = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / PART).alias("parts"))
+    dealt = in_leaf.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    # Each part meets every part of its leaf, itself included, once.
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = met.select("leaf", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "weight", "unit", "leaves")
+    return work.save(
+        met.repartition("leaf", "one", "two")
+        .sortWithinPartitions("leaf", "one", "two")
+        .mapInArrow(_compared(threshold, width), LINKS)
+    )
+
+
 def near_vectors(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -192,35 +218,22 @@ def near_vectors(
     """Per row: ``id``, ``n_links``, ``component`` (the smallest id reachable) and ``kept``."""
     work = Workspace(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    usual = rows.where("size(vector) > 0").groupBy(F.size("vector").alias("width")).count()
-    usual = usual.orderBy(F.desc("count"), "width").first()
-    width = usual["width"] if usual else 1
     clean = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = F.coalesce((F.size("vector") == width) & clean & F.exists("vector", lambda x: x != 0), F.lit(False))
+    good = F.coalesce((F.size("vector") > 0) & clean & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", good).withColumn("key", F.when(good, F.sha2(F.array_join("vector", ",").cast("binary"), 256)))
     nodes = work.save(
-        rows.where("good").groupBy("key").agg(F.min("id").alias("node"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
+        rows.where("good")
+        .groupBy("key")
+        .agg(F.min("id").alias("node"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
+        .withColumn("width", F.size("vector"))
     )
     joinable = nodes.where("node is not null")
-    count = joinable.count()
-    some = _unit(sampled(joinable, "node", min(sample, (8 << 20) // width)).select("vector").toArrow().column(0).combine_chunks(), width)
-    depth = max(0, int(np.ceil(np.log2(max(1, count) / leaf))))
-    depth = min(depth, max(0, int(np.log2(max(1, len(some)) / 8))))  # a split rests on 8 rows of the sample or more
-    rng = np.random.default_rng(seed)
-    spill = float(np.sqrt(max(0.0, 2 - 2 * threshold) / width)) / 2
-    forest = [_grown(some, depth, rng) for _ in range(trees)]
-    placed = work.save(_assigned(joinable, forest, width, spill))
-    in_leaf = placed.withColumn("leaf", F.explode("leaves"))
-    parts = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    dealt = in_leaf.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-    # Each part meets every part of its leaf, itself included, once.
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    met = met.select("leaf", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "weight", "unit", "leaves")
-    found = work.save(
-        met.repartition("leaf", "one", "two")
-        .sortWithinPartitions("leaf", "one", "two")
-        .mapInArrow(_compared(threshold, width), "a long, b long, links long")
-    )
+    widths = joinable.groupBy("width").count().orderBy("width").collect()
+    found = [
+        _links(joinable.where(F.col("width") == w["width"]), w["count"], w["width"], work, threshold, trees, leaf, sample, seed)
+        for w in widths
+    ]
+    found = reduce(DataFrame.unionByName, found) if found else vectors.sparkSession.createDataFrame([], LINKS)
     linked = components(found.where("b is not null").select("a", "b"), work)
     counts = found.groupBy("a").agg(F.sum("links").alias("links"))
     by_key = (

@@ -1,7 +1,8 @@
+import duckdb
 import numpy as np
 import pytest
 
-from finlake.llm import forest
+from finlake.llm import forest, queries
 from finlake.llm.forest import near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -56,3 +57,17 @@ def test_equal_rows_and_null_ids(spark):
     assert got == [("2", 3, "2", True), ("5", 3, "2", False), ("5", 3, "2", False), ("None", 0, "None", False), ("None", 3, "2", False)]
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
     assert [r["n_links"] for r in near_vectors(spark.createDataFrame([(1, None)], SCHEMA)).collect()] == [0]
+
+
+def test_each_width_links_within_itself(spark):
+    rng = np.random.default_rng(5)
+    rows = list(enumerate(rng.normal(size=(40, 8)).tolist()))
+    narrow = rng.normal(size=(12, 5))
+    narrow[3:6] = narrow[0]
+    narrow[6] = narrow[1] * 3 + 0.01
+    rows += [(100 + i, v) for i, v in enumerate(narrow.tolist())] + [(200, [1.0]), (201, [2.0]), (202, [-1.0]), (203, [1.0] * 9)]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    embeddings = vectors.toArrow()  # noqa: F841
+    expected = duckdb.sql(f"select vec_id, n_links, component_id, kept from ({queries.OP10_SQL}) order by 1").fetchall()
+    assert sorted(tuple(r) for r in near_vectors(vectors).collect()) == expected
+    assert {r[0]: r[1] for r in expected}[103] == 3
