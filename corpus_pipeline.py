@@ -7,12 +7,14 @@ of ``documents``.
 1. ``language``: texts without a letter, and texts of which no language has half the letters, go.
 2. ``toxicity``: texts that score 0.5 or more go.
 3. ``near_duplicates``: of texts linked by a Jaccard similarity of 0.8 or more over shingles of five
-   words, directly or through others, the one with the smallest id stays.
+   words, directly or through others, the one with the smallest id stays (one without an id only where
+   none has one; of rows with one id, any one).
 4. ``decontamination``: texts that hold ten words in a row of a benchmark item (or a shorter item) go.
 5. ``tokens``: texts become token ids; ``intact`` says that these decode to the very bytes of the text.
 
-Models are learned from the rows that a stage gets, as in the operators' queries. Rows with a null id
-are never taken for copies; a null text has no letter and goes in the first stage.
+Models are learned from the rows that a stage gets, as in the operators' queries. Stages 3 and 4 number the
+rows, so null and repeated ids make no difference to what goes; a null text has no letter and goes in the
+first stage.
 """
 
 from __future__ import annotations
@@ -41,17 +43,26 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where("_score < 0.5").select(*docs.columns)
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written, so that it stays the same in all that reads it."""
+    return Workspace(spark).save(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    found = jaccard.jaccard_components(docs, size=5, percent=80)
-    copies = found.where("id <> component").select(F.col("id").alias("doc_id"))
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(spark, docs)
+    found = jaccard.jaccard_components(rows, doc_id="_row", size=5, percent=80)
+    named = found.join(rows.select(F.col("_row").alias("id"), "doc_id"), "id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("id").alias("_row"))).alias("first")
+    kept = named.groupBy("component").agg(first).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    found = winnow.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(spark, docs)
+    found = winnow.decontaminate(rows, table(spark, sf_dir, "benchmark"), doc_id="_row")
+    return rows.join(found.where("n_hit > 0").select("_row"), "_row", "left_anti").select(*docs.columns)
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,3 +108,16 @@ def test_stages_take_empty_and_null_rows(spark):
         docs = spark.createDataFrame(made, schema)
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF_DIR).count() <= len(made)
+
+
+def test_null_and_repeated_ids_are_cut_by_row(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    passage = next(t for (t,) in rows("benchmark", "text") if len(t.split()) > 12)
+    made = [(None, text), (None, text), (4, text + " x"), (3, text), (3, text), (5, "one text alone"), (None, "another text alone")]
+    made += [(None, "other words before"), (None, "other words before"), (7, "held " + passage), (7, "clean words"), (None, "held " + passage)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in made], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_copies(spark, docs, SF_DIR).select("doc_id", "text").collect()
+    single = [(3, text), made[5], made[6], made[7], made[9], made[10]]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, single))
+    kept = corpus_pipeline.without_benchmark(spark, docs, SF_DIR).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, made[:9] + [made[10]]))
