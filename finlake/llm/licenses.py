@@ -3,7 +3,9 @@
 Passages are the lines of a file that speak of a licence, and for a licence file its whole text too.
 Passages and licence templates are sparse vectors of term frequencies weighted by inverse frequency over
 all passages; the template with the highest cosine of ``least`` or more names a passage's licence. A file
-takes the best of its passages. A file without one inherits from the nearest directory above it that has
+takes the best of its passages. Before that, a licence file is compared as a whole with whole licence texts
+(``licence_texts``), under the same weights; a cosine of ``WHOLE`` or more names it, whatever its lines say.
+A file without one inherits from the nearest directory above it that has
 a licence file: distinct directories are joined with their ancestors first, then files with their directory.
 
 Equal passages are scored once, with their number as weight, so a notice in a third of all files is one
@@ -15,12 +17,16 @@ keeps a result of its own. Of equal scores the licence last by name wins.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm.common import Workspace
 
 LEAST = 0.5
+#: Licence texts resemble each other and all long texts; a file that is one, with its own names and years, is above this.
+WHOLE = 0.8
 #: Notices by which licences are known. A licence may have several.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -55,12 +61,19 @@ def _templates(spark: SparkSession) -> DataFrame:
     return rows.select((-1 - F.col("i")).cast("long").alias("key"), "t.passage", F.lit(1).cast("long").alias("n"), "t.license")
 
 
+def _texts(spark: SparkSession) -> DataFrame:
+    """The whole licence texts (license, passage)."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    listed = F.array(*(F.struct(F.lit(f.stem).alias("license"), F.lit(f.read_text()).alias("passage")) for f in files))
+    return spark.range(1).select(F.explode(listed).alias("t")).select("t.*")
+
+
 def _terms(passage: Column) -> Column:
     return F.regexp_extract_all(F.lower(passage), F.lit(WORD), F.lit(0))
 
 
-def _scored(distinct: DataFrame, work: Workspace) -> DataFrame:
-    """(key, license, score): the best template of each distinct passage (key, passage, n)."""
+def _scored(distinct: DataFrame, wholes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(key, license, score): the best template of each distinct passage (key, passage, n); and the best text of wholes (key)."""
     templates = _templates(distinct.sparkSession)
     both = distinct.unionByName(templates.drop("license"))
     total = both.agg(F.sum("n")).first()[0]
@@ -78,7 +91,15 @@ def _scored(distinct: DataFrame, work: Workspace) -> DataFrame:
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)
     scored = dots.join(norms, "key").join(known, "template")
     best = scored.groupBy("key").agg(F.max(F.struct(cosine.alias("score"), "license")).alias("best"))
-    return best.select("key", "best.license", "best.score")
+    texts = _texts(distinct.sparkSession).select("license", F.explode(_terms(F.col("passage"))).alias("term"))
+    texts = texts.groupBy("license", "term").agg(F.count("*").alias("tf")).join(spread, "term", "left")
+    texts = work.save(texts.select("license", "term", (F.col("tf") * F.coalesce(idf, F.log(1 + F.lit(total)) + 1)).alias("tw")))
+    sizes = texts.groupBy("license").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
+    some = one.join(wholes, "key", "left_semi")
+    dots = some.join(texts, "term").groupBy("key", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    named = dots.join(norms, "key").join(sizes, "license")
+    named = named.groupBy("key").agg(F.max(F.struct(cosine.alias("score"), "license")).alias("best"))
+    return best.select("key", "best.license", "best.score"), named.select("key", "best.license", "best.score")
 
 
 def license_scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
@@ -96,14 +117,21 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", least
             F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_dir"),
             is_file.alias("_is_file"),
             F.array_distinct(F.transform(whole, F.trim)).alias("_passages"),
+            F.when(is_file & (F.trim(text) != ""), F.trim(text)).alias("_whole"),
         )
     )
     held = base.select("_row", "_dir", "_is_file", F.explode("_passages").alias("passage"))
     distinct = held.groupBy("passage").agg(F.count("*").alias("n"))
     distinct = work.save(distinct.withColumn("key", F.monotonically_increasing_id()))
-    best = _scored(distinct, work).where(F.col("score") >= least)
+    wholes = base.where("_whole is not null").select("_row", "_dir", "_is_file", F.col("_whole").alias("passage"))
+    wholes = work.save(wholes.join(distinct.select("key", "passage"), "passage").drop("passage"))
+    best, named = _scored(distinct, wholes, work)
+    best = best.where(F.col("score") >= least)
     best = work.save(best.join(distinct.select("key", "passage"), "key").drop("key"))
-    own = held.join(best, "passage").groupBy("_row", "_dir", "_is_file").agg(F.max(F.struct("score", "license")).alias("own"))
+    columns = ["_row", "_dir", "_is_file", "score", "license"]
+    by_line = held.join(best, "passage").select(*columns, F.lit(0).alias("whole"))
+    by_text = wholes.join(named.where(F.col("score") >= WHOLE), "key").select(*columns, F.lit(1).alias("whole"))
+    own = by_line.unionByName(by_text).groupBy("_row", "_dir", "_is_file").agg(F.max(F.struct("whole", "score", "license")).alias("own"))
     own = work.save(own)
     licensed = own.where("_is_file").groupBy(F.col("_dir").alias("above")).agg(F.max("own").alias("best"))
     dirs = base.where("_dir is not null").select("_dir").distinct()

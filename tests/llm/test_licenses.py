@@ -1,9 +1,11 @@
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from finlake.llm import licenses
 from finlake.llm.licenses import TEMPLATES, WORD, license_scan
 
 FILES = [
@@ -72,3 +74,14 @@ def test_scores_are_plain_cosines(spark):
 
 def test_no_files(spark):
     assert license_scan(spark.createDataFrame([], "path string, text string")).collect() == []
+
+
+def test_whole_licence_texts(spark):
+    folder = Path(licenses.__file__).parent / "licence_texts"
+    texts = {f.stem: f.read_text() for f in folder.glob("*.txt")}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0"} <= texts.keys()
+    head = "Copyright (c) 2019, Jane Roe and others.\nAll rights reserved.\n\n"
+    files = [(f"{name}/LICENSE", head + text.replace("copyright holder", "Example Foundation")) for name, text in texts.items()]
+    files += [(f"{name}/x.py", "code") for name in texts]
+    found = {r["path"]: r["license"] for r in license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert found == {path: path.split("/")[0] for path, _ in files}
