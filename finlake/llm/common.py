@@ -95,15 +95,15 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a column of texts, lower-cased: a 64-bit hash each, found without a loop over words.
+    """The words of a column of texts, lower-cased unless told not to: a 64-bit hash each, without a loop over words.
 
     ``hashes``: by word; ``starts``, ``ends``: its place in ``data``; ``bounds``: the words of text i
     are ``bounds[i]`` to ``bounds[i + 1]``. A null text has no words.
     """
 
-    def __init__(self, texts: pa.Array, is_word: np.ndarray):
+    def __init__(self, texts: pa.Array, is_word: np.ndarray, fold: bool = True):
         data, offsets = text_bytes(texts)
-        self.data = data = LOWER[data]
+        self.data = data = LOWER[data] if fold else data
         inside = np.concatenate(([False], is_word[data], [False]))
         first, last = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
         cuts = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import byte_bpe, forest, html_text, jaccard, language, licenses, token_counts, toxicity, warc, winnow
+from finlake.llm import (
+    byte_bpe,
+    forest,
+    html_text,
+    jaccard,
+    language,
+    licenses,
+    lines,
+    middle,
+    periodic,
+    token_counts,
+    toxicity,
+    warc,
+    winnow,
+)
 from finlake.llm.common import bounded_batches, held_out
 
 
@@ -101,6 +115,59 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"), documents=10, least=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with a tenth of the texts, by id, made to repeat their last words, as op13's contract says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.when(picked, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    n = F.size("words")
+    a = F.when(n > 0, F.col("g") % n).cast("int")
+    rows = rows.select("doc_id", "text", "words", "g", a.alias("a"), n.alias("n"))
+    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.select("doc_id", "text", "words", "n", "a", p.alias("p"))
+    again = F.transform(
+        "words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", F.col("a") + (i - F.col("a")) % F.col("p")))
+    )
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeating(table(spark, sf_dir, "documents")).select("doc_id", periodic.periodic_runs("text").alias("found"))
+    runs = F.col("found.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("n"), -r["start"], -r["period"].alias("q"))))
+    listed = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select("doc_id", "found", longest.cast("struct<n: long, s: long, q: long>").alias("best"), listed.alias("listed"))
+    return rows.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.q")).alias("period"),
+        F.expr("1000 * best.n div -best.q").alias("exponent_milli"),
+        F.sha2(F.array_join("listed", ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4_SQL = rf"""
@@ -234,6 +301,89 @@ OP10_SQL = """
     left join (select a as vec_id, count(*) as n_links from links group by a) using (vec_id)
 """
 
+_H = "cast('0x' || substr(hex, {}, 8) as bigint)".format
+
+OP11_SQL = f"""
+    with d as (
+        select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as hex,
+               regexp_extract_all(coalesce(text, ''), '{middle.UNIT}') as u
+        from documents
+    ), cuts as (
+        select *, len(u) as n, least({_H(1)} % (len(u) + 1), {_H(9)} % (len(u) + 1)) as a,
+               greatest({_H(1)} % (len(u) + 1), {_H(9)} % (len(u) + 1)) as b,
+               case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                      or {_H(17)} % 100 >= 90 then 'plain'
+                    when {_H(25)} % 100 < 20 then 'spm' else 'psm' end as form
+        from d
+    ), parts as (
+        select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid,
+               array_to_string(u[b + 1:n], '') as post from cuts
+    )
+    select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+           case when form <> 'plain' then length(mid) end as middle_chars,
+           sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || post || '<M>' || mid
+                  else '<S>' || post || '<P>' || pre || '<M>' || mid end) as output_sha256,
+           sha256(text) as restored_sha256
+    from parts
+"""
+
+OP12_SQL = r"""
+    with d as (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+    held as (
+        select r, p, l[p] as line, translate(trim(l[p], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+        from d, unnest(range(1, len(l) + 1)) t(p)
+    ), often as (select k from held where length(k) >= 1 group by k having count(distinct r) >= 10), kept as (
+        select r, count(*) as n, string_agg(line, chr(10) order by p) as text
+        from held where k not in (select k from often) group by r
+    )
+    select doc_id, len(l) as n_lines, len(l) - coalesce(n, 0) as n_dropped, sha256(coalesce(text, '')) as kept_sha256
+    from d left join kept using (r)
+"""
+
+# crc32 bit by bit. Words q apart that are equal, as stretches of positions; a stretch of 3 q and 5 at least is a run,
+# unless a run with a smaller period covers it.
+OP13_SQL = r"""
+    with d as (
+        select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as w,
+               xor(4294967295, list_reduce(
+                   [4294967295] || list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)),
+                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                            lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))) as h
+        from documents
+    ), planted as (
+        select r, doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as picked, (h // 10) % greatest(len(w), 1) as a,
+               1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) as p
+        from d
+    ), words as (
+        select r, i, case when picked and i >= a then w[a + (i - a) % p + 1] else w[i + 1] end as x
+        from planted, unnest(range(0, n)) t(i)
+    ), equal as (
+        select one.r, one.i, two.i - one.i as q
+        from words one join words two on one.r = two.r and one.x = two.x and two.i > one.i
+        join planted on planted.r = one.r where 4 * (two.i - one.i) <= n
+    ), stretches as (
+        select r, q, min(i) as s, count(*) as same
+        from (select *, i - row_number() over (partition by r, q order by i) as island from equal) group by r, q, island
+    ), periodic as (
+        select r, q, s, same + q as n from stretches where same >= 3 * q and same + q >= 6
+    ), runs as (
+        select * from periodic x where not exists (
+            select 1 from periodic y where y.r = x.r and y.q < x.q and y.s <= x.s and y.s + y.n >= x.s + x.n)
+    ), gone as (select distinct r, i from runs, unnest(range(s + q, s + n)) t(i)), kept as (
+        select r, string_agg(x, ' ' order by i) as text from words anti join gone using (r, i) group by r
+    ), listed as (
+        select r, count(*) as n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' order by s, q) as runs,
+               first({'s': s, 'n': n, 'q': q} order by n desc, s, q) as best
+        from runs group by r
+    )
+    select doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, best.n as length, best.q as period,
+           1000 * best.n // best.q as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256,
+           sha256(coalesce(kept.text, '')) as collapsed_sha256
+    from planted left join listed using (r) left join kept using (r)
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
@@ -245,6 +395,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_forest": op10_forest,
+    "op11_middle": op11_middle,
+    "op12_lines": op12_lines,
+    "op13_runs": op13_runs,
 }
 
 ORACLE: dict[str, str] = {
@@ -253,4 +406,7 @@ ORACLE: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op7_licenses": OP7_SQL,
     "op10_forest": OP10_SQL,
+    "op11_middle": OP11_SQL,
+    "op12_lines": OP12_SQL,
+    "op13_runs": OP13_SQL,
 }
