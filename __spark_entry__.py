@@ -74,6 +74,17 @@ ORDERS_BATCH = """
 """
 
 
+# Orders of two months move on by a month and cost twice as much; a few new ones come in between.
+MOVED_FREIGHT = """
+    select concat('', pedido_id) as pedido_id, 2 * valor_frete as valor_frete,
+           cast(data_envio + interval 1 month as date) as data_envio, transportadora, filial_id
+    from freight_by_month where data_envio in (date '1996-05-01', date '1997-11-01')
+    union all
+    select concat('new-', pedido_id), valor_frete, date '1999-12-01', transportadora, filial_id
+    from freight_by_month where data_envio = date '1995-02-01'
+"""
+
+
 # --- summaries -----------------------------------------------------------------
 
 
@@ -164,6 +175,23 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, "order_month")
 
 
+def compact_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that came in many small files a month; the result also says how many files each month has left."""
+    path = _fresh_lake(spark).silver_path("pedidos", "pedidos")
+    orders = run_sql(spark, sf_dir, ORDERS_TABLE)
+    maintenance.create(orders, path, "order_month", order=("o_orderkey",))
+    for part in range(3):
+        more = orders.where(F.col("o_orderkey") % 3 == part).withColumn("o_orderkey", -F.col("o_orderkey"))
+        maintenance.append(more, path, "order_month")
+    maintenance.compact_days(spark, path, "order_month", order=("o_orderkey",))
+    files = F.count_distinct("_metadata.file_path").alias("files")
+    stored = read_table(spark, path, "order_month")
+    return stored.groupBy("order_month").agg(
+        F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"), files,
+    )
+
+
 # --- pipeline --------------------------------------------------------------------
 
 
@@ -205,6 +233,28 @@ def csv_inferred_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.silver_path(spec.domain, spec.table), spec.date_col)
 
 
+def csv_widened_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source without declared columns: whole amounts on its first day, others on the next, then all days at once."""
+    lake, days = raw_lake(spark, sf_dir, "sales")
+    spec = replace(LAKE_SPECS["sales"], schema=None, widen=True)
+    first = view(spark, sf_dir, "sales").where(F.col("data_venda") == F.lit(DAY).cast("date"))
+    whole = first.withColumn("valor_unitario", F.floor("valor_unitario").cast("int"))
+    whole.write.mode("overwrite").option("header", True).csv(day_path(lake, spec, DAY))
+    for day in (DAY, NEXT_DAY):
+        ingest(spark, lake, spec, day)
+    ingest_range(spark, lake, spec, days)
+    return read_table(spark, lake.silver_path(spec.domain, spec.table), spec.date_col)
+
+
+def stored_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of a stored summary and its bounds, for which no data column is read."""
+    stored = stored_report(spark, sf_dir, "taxes")
+    days = explore.option_values(stored, "CodigoData").select(F.lit("day").alias("what"), "CodigoData")
+    bounds = explore.date_bounds(stored)
+    ends = [bounds.select(F.lit(c).alias("what"), F.col(c).alias("CodigoData")) for c in bounds.columns]
+    return days.unionByName(ends[0]).unionByName(ends[1])
+
+
 def stored_report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A summary as it is stored, built from cleaned tables."""
     lake = _fresh_lake(spark)
@@ -230,14 +280,9 @@ def stored_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def selection_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows a selection of no, one and several branches has."""
-    products = _products(spark, sf_dir)
-    frames = [
-        explore.filter_report(products, "products", branches, FIRST, LAST).agg(
-            F.lit(len(branches)).alias("branches"), F.count("*").alias("n_rows")
-        )
-        for branches in ([], BRANCHES[:1], BRANCHES)
-    ]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    selections = [BRANCHES[:n] for n in range(3)]
+    sizes = explore.selection_sizes(_products(spark, sf_dir), "products", selections, FIRST, LAST)
+    return sizes.select(F.col("selection").alias("branches"), "n_rows")
 
 
 def in_doubles(spark: SparkSession, sf_dir: str, name: str, amount: str) -> DataFrame:
@@ -261,6 +306,20 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.open_report(spark, lake, "products")
 
 
+def refresh_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freight per day after an upsert that moves orders between days, of which only the changed days are computed anew."""
+    lake, spec = _fresh_lake(spark), LAKE_SPECS["freight"]
+    path = lake.silver_path(spec.domain, spec.table)
+    rows = maintenance.conform(view(spark, sf_dir, LAKE_VIEWS["freight"]), spec.struct())
+    maintenance.create(rows, path, spec.date_col, order=(spec.id_col,))
+    refresh_gold(spark, lake, "freight", DAY, LAKE_SPECS)
+    changed: set = set()
+    batch = maintenance.conform(run_sql(spark, sf_dir, MOVED_FREIGHT, LAKE_VIEWS["freight"]), spec.struct())
+    maintenance.upsert(spark, path, batch, spec.id_col, spec.date_col, changed=changed)
+    refresh_gold(spark, lake, "freight", changed, LAKE_SPECS)
+    return explore.open_report(spark, lake, "freight")
+
+
 #: What the product summary holds beside its measure.
 MORE_MEASURES = ("TotalDevolvido", "TotalEmEstoque", "TotalValorVendido", "TicketMedio")
 
@@ -375,6 +434,8 @@ def _report_queries() -> dict[str, Query]:
             in_doubles(s, d, "taxes", "valor_pago")
         ),
         "csv_inferred_ingest": csv_inferred_ingest,
+        "csv_widened_ingest": csv_widened_ingest,
+        "stored_dates": stored_dates,
         "tax_series": lambda s, d: explore.report_series(
             _taxes(s, d), "taxes", BRANCHES, FIRST, LAST
         ),
@@ -394,6 +455,8 @@ def _report_queries() -> dict[str, Query]:
         "append_evolve": append_evolve,
         "overwrite_table": overwrite_table,
         "upsert_orders": upsert_orders,
+        "compact_days": compact_days,
+        "refresh_changed": refresh_changed,
         "csv_day_ingest": csv_day_ingest,
         "gold_refresh": gold_refresh,
         "run_day": run_day_query,
@@ -543,6 +606,23 @@ def _report_sql() -> dict[str, str]:
         "sales_summary_double": oracle(sales, "sales"),
         "freight_summary_double": oracle(freight, "freight"),
         "tax_summary_double": oracle(_TAXES, "taxes"),
+        "csv_widened_ingest": oracle(
+            f"""
+            select data_venda, produto_id, filial_id, cast(quantidade as integer) as quantidade,
+                   cast(case when data_venda = date '{DAY}' then floor(valor_unitario) else valor_unitario end as double)
+                       as valor_unitario
+            from sales where data_venda is not null
+            """,
+            "sales",
+        ),
+        "stored_dates": oracle(
+            f"""
+            select distinct 'day' as what, "CodigoData" from ({_TAXES}) where "CodigoData" is not null
+            union all select 'first_day', min("CodigoData") from ({_TAXES})
+            union all select 'last_day', max("CodigoData") from ({_TAXES})
+            """,
+            "taxes",
+        ),
         "csv_inferred_ingest": oracle(
             "select data_venda, produto_id, filial_id, cast(quantidade as integer) as quantidade, "
             "cast(valor_unitario as double) as valor_unitario from sales where data_venda is not null",
@@ -584,6 +664,23 @@ def _report_sql() -> dict[str, str]:
             union all select * from ({ORDERS_BATCH})
             """
         ),
+        "compact_days": oracle(
+            f"""
+            select order_month, 2 * count(*) as n_rows, cast(0 as bigint) as keys,
+                   cast(2 * sum(cast(o_totalprice as decimal(18,2))) as double) as total, cast(1 as bigint) as files
+            from ({ORDERS_TABLE}) group by order_month
+            """
+        ),
+        "refresh_changed": oracle(
+            _FREIGHT.format(
+                freight=f"""(
+                    select concat('', pedido_id) as pedido_id, valor_frete, data_envio, transportadora, filial_id
+                    from freight_by_month where data_envio not in (date '1996-05-01', date '1997-11-01')
+                    union all select * from ({MOVED_FREIGHT})
+                )"""
+            ),
+            "freight_by_month",
+        ),
         "csv_day_ingest": oracle(
             "select data_venda, produto_id, filial_id, cast(quantidade as integer) as quantidade, "
             f"cast(valor_unitario as double) as valor_unitario from sales "

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.days import Day, parse_day
@@ -38,11 +38,37 @@ def filter_report(
     No branches means no rows, and so does a day that is None; a malformed day raises.
     The product is ignored by reports without one.
     """
+    selected = _selected(report, product, first, last)
+    return summary.where(F.col("FilialId").isin(list(branches)) & selected)
+
+
+def _selected(report: Report | str, product: object, first: Day | None, last: Day | None) -> Column:
     low, high = (F.lit(None if day is None else parse_day(day)).cast("date") for day in (first, last))
-    rows = summary.where(F.col("FilialId").isin(list(branches)) & F.col("CodigoData").between(low, high))
+    selected = F.col("CodigoData").between(low, high)
     if get_report(report).has_product and product not in (None, ALL_PRODUCTS):
-        rows = rows.where(F.col("ProdutoId") == F.lit(product))
-    return rows
+        selected &= F.col("ProdutoId") == F.lit(product)
+    return selected
+
+
+def selection_sizes(
+    summary: DataFrame,
+    report: Report | str,
+    selections: Sequence[Sequence[str]],
+    first: Day | None,
+    last: Day | None,
+    product: object = ALL_PRODUCTS,
+) -> DataFrame:
+    """How many rows :func:`filter_report` would give for each of several sets of branches, by one scan.
+
+    (selection, n_rows): the number of the set, from 0, and its rows; 0 where a selection is empty.
+    """
+    every = sorted({branch for branches in selections for branch in branches})
+    rows = filter_report(summary, report, every, first, last, product)
+    sizes = [
+        F.struct(F.lit(i).alias("selection"), F.count_if(F.col("FilialId").isin(list(branches))).alias("n_rows"))
+        for i, branches in enumerate(selections)
+    ]
+    return rows.agg(F.array(*sizes).alias("sizes")).select(F.inline("sizes"))
 
 
 def report_series(

@@ -9,14 +9,15 @@ Spark could still be reading from.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.functions.days import (
-    NULL_PARTITION,
     Day,
     on_days,
     parse_day,
@@ -25,12 +26,22 @@ from finlake.functions.days import (
 )
 from finlake.sources import delta
 from finlake.sources.lake import (
+    delete_folder,
+    file_sizes,
+    folder_bytes,
+    keep_schema,
+    kept_schema,
     mark_complete,
     materialize,
+    partition_day,
+    partition_name,
     path_exists,
     read_partitions,
     read_table,
+    replace_folder,
     scratch,
+    sibling,
+    table_schema,
 )
 
 
@@ -121,16 +132,14 @@ def _save(df: DataFrame, path: str, date_col: str, mode: str, dynamic: bool = Fa
 
 def _empty_partition(df: DataFrame, path: str, date_col: str, day: date | None) -> None:
     """Leave a day without rows; the written file still carries the columns."""
-    value = NULL_PARTITION if day is None else day.isoformat()
     columns = T.StructType([f for f in df.schema if f.name.lower() != date_col.lower()])
     empty = df.sparkSession.createDataFrame([], columns)
-    empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{date_col}={value}")
+    empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{partition_name(date_col, day)}")
 
 
 def clear_day(spark: SparkSession, path: str, date_col: str, day: date | None) -> None:
     """Empty a day's partition if there is one."""
-    value = NULL_PARTITION if day is None else day.isoformat()
-    partition = f"{path}/{date_col}={value}"
+    partition = f"{path}/{partition_name(date_col, day)}"
     if path_exists(spark, partition):
         _empty_partition(spark.read.parquet(partition), path, date_col, day)
 
@@ -138,20 +147,78 @@ def clear_day(spark: SparkSession, path: str, date_col: str, day: date | None) -
 def create(
     df: DataFrame, path: str, date_col: str, fmt: str = "parquet", order: Sequence[str] = ()
 ) -> None:
-    """Write a new table, or overwrite one that the frame does not read from.
+    """Write a new table, or overwrite one.
 
     With an ``order`` the rows of a day are brought together and sorted in their
     files. Raw files need no such shuffle, as each already belongs to one day.
+
+    A stored table is replaced only when the new one is complete: that one is built
+    in a folder beside it, which then takes its name. A job that fails or is killed
+    half-way leaves the old table whole, and at worst an unread folder beside it.
+    (Where a rename copies, as in object stores, this costs one copy.)
     """
     if fmt == "delta":
         return delta.create(df, path, date_col)
-    rows = Observation()
-    out = _by_day(df, date_col) if order else df
-    out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
-    _save(_sorted_files(out, date_col, order), path, date_col, "overwrite")
-    if not rows.get["rows"]:
-        _empty_partition(df, path, date_col, None)
-    mark_complete(df.sparkSession, path)
+    spark = df.sparkSession
+    exists = path_exists(spark, path)
+    place = sibling(path, "building") if exists else path
+    try:
+        rows = Observation()
+        out = _by_day(df, date_col) if order else df
+        out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
+        _save(_sorted_files(out, date_col, order), place, date_col, "overwrite")
+        if not rows.get["rows"]:
+            _empty_partition(df, place, date_col, None)
+        keep_schema(spark, place, date_col, df.schema)
+        mark_complete(spark, place)
+    except BaseException:
+        if exists:
+            delete_folder(spark, place)
+        raise
+    if exists:
+        replace_folder(spark, place, path)
+
+
+def _grow(spark: SparkSession, path: str, date_col: str, batch: T.StructType, whole: T.StructType | None = None) -> None:
+    """Note the columns that a batch adds, before it is written: a noted column that no file has yet reads as NULL.
+
+    ``whole``: the table's columns, where the caller has them; else a table without kept columns stays so.
+    """
+    kept = kept_schema(spark, path)
+    base = whole or kept
+    if base is None:
+        return
+    known = {f.name.lower() for f in base}
+    new = [f for f in batch if f.name.lower() not in known]
+    if new or kept is None:
+        keep_schema(spark, path, date_col, [*base, *new])
+
+
+#: A file's column of the first type reads as any of the others, so a table's column can be widened without a rewrite.
+_READS_AS = {"int": ("bigint", "double", "decimal(38,0)"), "bigint": ("decimal(38,0)",), "float": ("double",)}
+
+
+def widen(
+    spark: SparkSession, path: str, date_col: str, batch: T.StructType, declared: T.StructType | None = None
+) -> T.StructType:
+    """A table's columns, of which those that a batch holds in a wider type, and that files can be read as, take that type.
+
+    Columns in ``declared`` keep their type. The new types are noted beside the table, and no file is rewritten. A column that cannot
+    be read in the wider type stays as it is, and a value that does not fit it raises when it is written.
+    """
+    schema = table_schema(spark, path, date_col)
+    fixed = set() if declared is None else {n.lower() for n in declared.fieldNames()}
+    comes = {f.name.lower(): f.dataType for f in batch if f.name.lower() not in fixed}
+
+    def wider(field: T.StructField) -> T.StructField:
+        new = comes.get(field.name.lower(), field.dataType)
+        reads = new.simpleString() in _READS_AS.get(field.dataType.simpleString(), ())
+        return T.StructField(field.name, new) if reads else field
+
+    fields = [wider(field) for field in schema]
+    if fields != list(schema.fields):
+        keep_schema(spark, path, date_col, fields)
+    return T.StructType(fields)
 
 
 def append(
@@ -164,13 +231,16 @@ def append(
     """Add rows; columns the table lacks become part of it.
 
     Common columns take the table's types: those in ``schema`` or, without one,
-    those found in its files.
+    those kept beside the table. Only where these are missing or damaged are the footers of
+    its files opened, and what they say is kept from then on.
     """
     if fmt == "delta":
         return delta.append(df, path)
-    if schema is None:
-        schema = read_table(df.sparkSession, path, date_col, evolved=True).schema
-    _save(_by_day(conform(df, schema, extra=True), date_col), path, date_col, "append")
+    spark = df.sparkSession
+    whole = table_schema(spark, path, date_col) if schema is None else None
+    batch = conform(df, schema or whole, extra=True)
+    _grow(spark, path, date_col, batch.schema, whole)
+    _save(_by_day(batch, date_col), path, date_col, "append")
 
 
 def delete_day(
@@ -189,17 +259,20 @@ def replace_days(
     days: Day | Iterable[Day],
     fmt: str = "parquet",
     order: Sequence[str] = (),
+    changed: set[date | None] | None = None,
 ) -> dict[str, int]:
     """Delete the given days, then add every row of the frame.
 
     Rows dated on one of the days take its partition over in a single job. Rows
     of any other date, or of none, are appended in a second job that runs only
     if the first one met such rows. Days for which no row came end up empty.
-    ``order`` is as in :func:`create`. The second job computes the frame again, so
+    ``order`` is as in :func:`create`; ``changed`` gets every day whose rows changed. The second job computes the frame again, so
     a frame whose rows may change between two runs must be written by the caller first.
     """
     days = parse_days(days)
     spark = df.sparkSession
+    if fmt != "delta":
+        _grow(spark, path, date_col, df.schema)
     seen = Observation()
     dated = F.col(date_col).isin(days)
     watched = (_by_day(df, date_col) if order else df).observe(
@@ -216,15 +289,72 @@ def replace_days(
         for day in sorted(set(days) - set(seen.get["present"])):
             clear_day(spark, path, date_col, day)
     counts = {name: seen.get[name] or 0 for name in ("replaced", "stray")}
+    late = Observation()
     if counts["stray"]:
-        strays = df.where(F.coalesce(~dated, F.lit(True)))
+        strays = _watch_days(df.where(F.coalesce(~dated, F.lit(True))), date_col, late)
         if fmt == "delta":
             delta.append(strays, path)
         else:
             _save(_by_day(strays, date_col), path, date_col, "append")
+    if changed is not None:
+        changed |= set(days) | (_days_of(late) if counts["stray"] else set())
     return counts
 
 
+#: The filter over a batch's ids: a power of two of 64-bit words, about one for so many ids, and no more than so many.
+FILTER_IDS, FILTER_WORDS = 4, 1 << 20
+
+
+def _words(n_ids: int) -> int:
+    """How many words the filter over so many ids has; 16 bits for each id up to the bound."""
+    return min(FILTER_WORDS, 1 << max(0, ceil(n_ids / FILTER_IDS) - 1).bit_length())
+
+
+def _slot(id_col: str, words: int) -> Column:
+    return F.xxhash64(id_col).bitwiseAND(F.lit(words - 1))
+
+
+def _bits(id_col: str) -> Column:
+    """Four bits of a word, from a part of the id's hash that does not choose the word."""
+    parts = [F.expr(f"shiftleft(1L, cast(shiftright(xxhash64(`{id_col}`), {at}) & 63 as int))") for at in (20, 26, 32, 38)]
+    bits = parts[0]
+    for part in parts[1:]:
+        bits = bits.bitwiseOR(part)
+    return bits
+
+
+def id_filter(ids: DataFrame, id_col: str, n_ids: int) -> tuple[DataFrame, int]:
+    """A Bloom filter as a table of (_slot, _word), at most ``FILTER_WORDS`` rows, and its number of slots."""
+    words = _words(n_ids)
+    table = ids.select(_slot(id_col, words).alias("_slot"), _bits(id_col).alias("_bits"))
+    return table.groupBy("_slot").agg(F.bit_or("_bits").alias("_word")), words
+
+
+def may_match(rows: DataFrame, id_col: str, bloom: DataFrame, words: int) -> DataFrame:
+    """The rows whose id the filter may hold: all that do, and few others. The filter's size is bounded, so it is broadcast."""
+    bits = _bits(id_col)
+    same = (_slot(id_col, words) == F.col("_slot")) & (F.col("_word").bitwiseAND(bits) == bits)
+    return rows.join(F.broadcast(bloom), same, "left_semi")
+
+
+def _search(ids: DataFrame, id_col: str, wanted: DataFrame, bounds: dict, folder: str) -> DataFrame:
+    """Stored ids that the batch has, with what is wanted of them.
+
+    The least and the largest id of the batch reach the scan, which skips files and row groups by
+    them. Unless the batch is small enough for Spark to broadcast it anyway, a Bloom filter over its ids then leaves out,
+    before the shuffle, the stored ids it does not have.
+    """
+    spark = ids.sparkSession
+    if not bounds.get("n"):
+        return ids.limit(0).join(wanted, id_col)
+    near = ids.where(F.col(id_col).between(F.lit(bounds["low"]), F.lit(bounds["high"])))
+    broadcast = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if folder_bytes(spark, f"{folder}/wanted") > broadcast:
+        bloom, words = id_filter(wanted, id_col, bounds["n"])
+        near = may_match(near, id_col, materialize(bloom, f"{folder}/bloom"), words)
+    return near.join(wanted, id_col)
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -233,6 +363,7 @@ def upsert(
     date_col: str,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    changed: set[date | None] | None = None,
 ) -> dict[str, int]:
     """Update stored rows whose id is in the batch, insert the other rows of the batch.
 
@@ -242,34 +373,41 @@ def upsert(
     * Two batch rows for one stored id raise :class:`UpsertConflict`; repeated
       ids that match nothing are all inserted.
     * A stored column missing from the batch is an error; a new one is left out.
-      Stored columns are those of ``schema`` (or, without one, of some stored file)
-      and whatever the files of rewritten days hold beyond them.
-
-    The stored table is searched once, reading only ids; no file footer is opened
-    for that if there is a ``schema``. The join behind the search is written as it
-    is, so Spark splits a stored id or a batch id that very many rows have. Then days that hold a
+      Stored columns are those of ``schema`` or those kept beside the table (or,
+      without either, of some stored file and whatever the files of rewritten days hold beyond it).
+
+    The stored table is searched once, reading only ids that lie between the batch's
+    least and largest one, and shuffling only those that a Bloom filter over
+    the batch's ids lets pass; so the rows shuffled grow with the batch and not
+    with the table. The joins behind the search and the rewrite have
+    written tables on both sides, so Spark splits a stored id or a batch id that very many rows have. Then days that hold a
     match are rewritten, and everything else is appended. Rows that leave a day
     are removed before they are added elsewhere, so running a broken upsert
     again completes it instead of duplicating rows.
+
+    Returns counts, and adds to ``changed`` every day whose rows changed (at most one for each partition).
     """
     if fmt == "delta":
         delta.upsert(spark, path, batch, id_col)
         return {}
+    whole = schema is None and kept_schema(spark, path) is not None
     stored_ids = read_table(spark, path, date_col, schema=schema)
     batch = conform(batch, stored_ids.schema, extra=True, missing="error")
 
     with scratch(spark, path) as folder:
         batch = materialize(batch, f"{folder}/batch")
         # One row per id of the batch: how often it occurs and the day it goes to.
-        wanted = materialize(
+        wanted = (
             batch.where(F.col(id_col).isNotNull())
             .groupBy(id_col)
-            .agg(F.count(F.lit(1)).alias("_copies"), F.min(date_col).alias("_to")),
-            f"{folder}/wanted",
+            .agg(F.count(F.lit(1)).alias("_copies"), F.min(date_col).alias("_to"))
         )
+        bounds = Observation()
+        ends = F.min(id_col).alias("low"), F.max(id_col).alias("high")
+        wanted = materialize(wanted.observe(bounds, F.count(F.lit(1)).alias("n"), *ends), f"{folder}/wanted")
         # One row per matched id and day. A written copy, because the search
         # must not be repeated on a table that has begun to change.
-        found = stored_ids.select(id_col, F.col(date_col).alias("_from")).join(wanted, id_col)
+        found = _search(stored_ids.select(id_col, F.col(date_col).alias("_from")), id_col, wanted, bounds.get, folder)
         hits = materialize(found, f"{folder}/hits").distinct()
         leaves = ~F.col("_from").eqNullSafe(F.col("_to"))
         # At most one row per partition of the table.
@@ -289,32 +427,29 @@ def upsert(
         target = stored_ids
         if touched:
             days = [row["_from"] for row in touched]
-            target = read_partitions(spark, path, date_col, days, stored_ids.schema)
+            target = read_partitions(spark, path, date_col, days, stored_ids.schema, whole)
         columns = target.columns
         batch = conform(batch, target.schema, missing="error")
-        matched_ids = hits.select(id_col)
-        updates = batch.join(matched_ids, id_col, "left_semi").select(
-            id_col, F.struct(*columns).alias("_new")
-        )
-        stays = F.col("_new").isNull() | F.col(f"_new.{date_col}").eqNullSafe(F.col(date_col))
-        additions = batch
-        if touched:
-            additions = batch.join(matched_ids, id_col, "left_anti").select(*columns)
-
+        additions, matched_ids = batch, hits.select(id_col)
         losing = [row["_from"] for row in touched if row.leaving]
         emptied: set[date | None] = set()
-        if losing:
-            stored = target.where(on_days(F.col(date_col), losing))
-            moved = materialize(
-                stored.select(id_col, date_col).join(updates, id_col).where(~stays).select("_new.*"),
-                f"{folder}/moved",
-            )
-            additions = additions.unionByName(moved)
-            gone = hits.where(leaves).select(F.col(id_col).alias("_id"), "_from")
-            same = (F.col(id_col) == F.col("_id")) & F.col(date_col).eqNullSafe(F.col("_from"))
-            held = stored.select(id_col, date_col).join(gone, same, "left_anti")
-            holding = {row[date_col] for row in held.select(date_col).distinct().collect()}
-            emptied = set(losing) - holding
+        if touched:
+            additions = batch.join(matched_ids, id_col, "left_anti").select(*columns)
+            updates = batch.join(matched_ids, id_col, "left_semi").select(id_col, F.struct(*columns).alias("_new"))
+            stays = F.col("_new").isNull() | F.col(f"_new.{date_col}").eqNullSafe(F.col(date_col))
+            with ThreadPoolExecutor(2) as pool:
+                written = pool.submit(materialize, updates, f"{folder}/updates")
+                if losing:
+                    stored = target.where(on_days(F.col(date_col), losing)).select(id_col, date_col)
+                    gone = hits.where(leaves).select(F.col(id_col).alias("_id"), "_from")
+                    same = (F.col(id_col) == F.col("_id")) & F.col(date_col).eqNullSafe(F.col("_from"))
+                    held = stored.join(gone, same, "left_anti").select(date_col).distinct()
+                    holding = pool.submit(held.collect)
+                updates = written.result()
+                if losing:
+                    moved = stored.join(updates, id_col).where(~stays).select("_new.*")
+                    additions = additions.unionByName(materialize(moved, f"{folder}/moved"))
+                    emptied = set(losing) - {row[date_col] for row in holding.result()}
 
         for day in emptied:
             clear_day(spark, path, date_col, day)
@@ -332,9 +467,60 @@ def upsert(
                 )
             )
             _save(_by_day(merged, date_col), path, date_col, "overwrite", dynamic=True)
-        _save(_by_day(additions, date_col), path, date_col, "append")
+        added = Observation()
+        _save(_watch_days(_by_day(additions, date_col), date_col, added), path, date_col, "append")
+    if changed is not None:
+        changed |= {row["_from"] for row in touched} | _days_of(added)
     return {
         "matched_ids": sum(row.ids for row in touched),
         "days_rewritten": len(rewritten),
         "days_emptied": len(emptied),
     }
+
+
+def _watch_days(df: DataFrame, date_col: str, seen: Observation) -> DataFrame:
+    """The frame, whose days (at most one for each partition written) are noted when it is written."""
+    days = F.collect_set(date_col).alias("days"), F.count_if(F.col(date_col).isNull()).alias("undated")
+    return df.observe(seen, *days)
+
+
+def _days_of(seen: Observation) -> set[date | None]:
+    return set(seen.get.get("days") or ()) | ({None} if seen.get.get("undated") else set())
+
+
+def compact_days(
+    spark: SparkSession,
+    path: str,
+    date_col: str,
+    days: Iterable[Day | None] | None = None,
+    order: Sequence[str] = (),
+    target_bytes: int = 128 << 20,
+) -> dict[str, int]:
+    """Pack the files of days that hold more of them than their bytes need; contents stay as they are.
+
+    ``days`` are those to look at (None among them for rows without a date), or all. A day of B bytes becomes
+    at most ceil(B / target_bytes) files, each sorted by ``order`` anew. The rows of a day are dealt to its files by a
+    hash of all columns, so a day or an id with very many rows is spread over tasks. Days that have no file too many are not read. The
+    days are exchanged in one job, after all of it is written.
+    """
+    wanted = None if days is None else {None if day is None else parse_day(day) for day in days}
+    bins = {}
+    for folder, sizes in file_sizes(spark, path).items():
+        day, most = partition_day(folder), max(1, ceil(sum(sizes) / target_bytes))
+        if len(sizes) > most and (wanted is None or day in wanted):
+            bins[day] = most
+    if not bins:
+        return {"days": 0, "files_before": 0, "files_after": 0}
+    kept = kept_schema(spark, path)
+    schema = kept or read_table(spark, path, date_col).schema
+    rows = read_partitions(spark, path, date_col, sorted(bins, key=str), schema, whole=kept is not None)
+    n_files = F.lit(bins.get(None, 1))
+    for most in sorted(set(bins.values())):
+        of_size = [day for day, n in bins.items() if n == most and day is not None]
+        n_files = F.when(F.col(date_col).isin(of_size), most).otherwise(n_files)
+    bin_no = F.pmod(F.xxhash64(*[c for c in rows.columns if c != date_col]), n_files)
+    dealt = rows.withColumn("_bin", bin_no).repartition(sum(bins.values()), date_col, "_bin")
+    before = sum(len(sizes) for folder, sizes in file_sizes(spark, path).items() if partition_day(folder) in bins)
+    _save(dealt.drop("_bin").sortWithinPartitions(date_col, *order), path, date_col, "overwrite", dynamic=True)
+    after = sum(len(sizes) for folder, sizes in file_sizes(spark, path).items() if partition_day(folder) in bins)
+    return {"days": len(bins), "files_before": before, "files_after": after}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,61 +16,93 @@ from finlake.operators.maintenance import (
     create,
     replace_days,
     upsert,
+    widen,
 )
 from finlake.sources.daily_csv import FILE_DAY, SourceSpec, read_day, read_days
-from finlake.sources.lake import Lake, materialize, read_table, scratch, table_exists
+from finlake.sources.lake import Lake, materialize, read_table, scratch, stored_days, table_exists, table_schema
 
 
-def ingest(spark: SparkSession, lake: Lake, spec: SourceSpec, day: Day) -> dict[str, int]:
-    """Bring one source's file of one day into its table, creating the table if need be."""
-    batch = read_day(spark, lake, spec, day)
+def ingest(
+    spark: SparkSession, lake: Lake, spec: SourceSpec, day: Day, changed: set[date | None] | None = None
+) -> dict[str, int]:
+    """Bring one source's file of one day into its table, creating the table if need be.
+
+    ``changed`` gets the days whose rows changed, None among them for rows without a date.
+    """
     path = lake.silver_path(spec.domain, spec.table)
-    if not table_exists(spark, path, lake.fmt):
-        create(batch, path, spec.date_col, lake.fmt)
-        return {}
-    return _maintain(spark, lake, spec, batch, day)
+    with scratch(spark, path) as folder:
+        batch = read_day(spark, lake, spec, day, folder)
+        if table_exists(spark, path, lake.fmt):
+            return _maintain(spark, lake, spec, batch, day, changed)
+        _create(spark, lake, spec, batch, changed)
+    return {}
+
+
+def _create(
+    spark: SparkSession,
+    lake: Lake,
+    spec: SourceSpec,
+    rows: DataFrame,
+    changed: set[date | None] | None,
+    order: tuple[str, ...] = (),
+) -> None:
+    path = lake.silver_path(spec.domain, spec.table)
+    create(rows, path, spec.date_col, lake.fmt, order)
+    if changed is not None and lake.fmt != "delta":
+        changed |= set(stored_days(spark, path))
 
 
 def _maintain(
-    spark: SparkSession, lake: Lake, spec: SourceSpec, batch: DataFrame, days: Day | Iterable[Day]
+    spark: SparkSession,
+    lake: Lake,
+    spec: SourceSpec,
+    batch: DataFrame,
+    days: Day | Iterable[Day],
+    changed: set[date | None] | None,
 ) -> dict[str, int]:
     path = lake.silver_path(spec.domain, spec.table)
     if not spec.append_only:
-        return upsert(spark, path, batch, spec.id_col, spec.date_col, lake.fmt)
+        return upsert(spark, path, batch, spec.id_col, spec.date_col, lake.fmt, changed=changed)
     declared = spec.struct()
     if lake.fmt != "delta":
-        # Only columns outside the declared ones need a look at the stored files.
+        # Only columns outside the declared ones need a look at what is stored.
         names = set() if declared is None else {n.lower() for n in declared.fieldNames()}
         if declared is None or any(c.lower() not in names for c in batch.columns):
-            declared = read_table(spark, path, spec.date_col, evolved=True).schema
+            fixed, declared = declared, table_schema(spark, path, spec.date_col)
+            if spec.widen:
+                declared = widen(spark, path, spec.date_col, batch.schema, fixed)
         batch = conform(batch, declared, extra=True)
-    return replace_days(batch, path, spec.date_col, days, lake.fmt)
+    return replace_days(batch, path, spec.date_col, days, lake.fmt, changed=changed)
 
 
 def ingest_range(
-    spark: SparkSession, lake: Lake, spec: SourceSpec, days: Iterable[Day]
+    spark: SparkSession,
+    lake: Lake,
+    spec: SourceSpec,
+    days: Iterable[Day],
+    changed: set[date | None] | None = None,
 ) -> dict[str, int]:
     """:func:`ingest` for many days at once, with the outcome of running them in order."""
     days = parse_days(days)
     path = lake.silver_path(spec.domain, spec.table)
     exists = table_exists(spark, path, lake.fmt)
-    frames = read_days(spark, lake, spec, days)
-    if spec.append_only:
-        rows = _surviving_rows(_union(frames), spec, days)
-        if exists:
-            return _maintain(spark, lake, spec, rows, days)
-        create(rows, path, spec.date_col, lake.fmt)
-        return {}
-    # An upsert keeps the columns of the stored table or, if there is none yet,
-    # of the first file, and insists that every batch has them.
-    first = read_table(spark, path, spec.date_col, lake.fmt) if exists else frames[0].drop(FILE_DAY)
-    columns = first.schema.add(FILE_DAY, "date")
-    rows = _union([conform(frame, columns, missing="error") for frame in frames])
     with scratch(spark, path) as folder:
+        frames = read_days(spark, lake, spec, days, folder)
+        if spec.append_only:
+            rows = _surviving_rows(_union(frames), spec, days)
+            if exists:
+                return _maintain(spark, lake, spec, rows, days, changed)
+            _create(spark, lake, spec, rows, changed)
+            return {}
+        # An upsert keeps the columns of the stored table or, if there is none yet,
+        # of the first file, and insists that every batch has them.
+        first = read_table(spark, path, spec.date_col, lake.fmt) if exists else frames[0].drop(FILE_DAY)
+        columns = first.schema.add(FILE_DAY, "date")
+        rows = _union([conform(frame, columns, missing="error") for frame in frames])
         rows = _latest_versions(materialize(rows, f"{folder}/files"), spec.id_col, folder)
         if exists:
-            return upsert(spark, path, rows, spec.id_col, spec.date_col, lake.fmt)
-        create(rows, path, spec.date_col, lake.fmt, order=(spec.id_col,))
+            return upsert(spark, path, rows, spec.id_col, spec.date_col, lake.fmt, changed=changed)
+        _create(spark, lake, spec, rows, changed, order=(spec.id_col,))
     return {}
 
 

@@ -88,13 +88,24 @@ def _side_by_side(step, things: Iterable) -> None:
 
 
 def run_day(
-    spark: SparkSession, lake: Lake, day: Day, specs: Mapping[str, SourceSpec] = SPECS
+    spark: SparkSession,
+    lake: Lake,
+    day: Day,
+    specs: Mapping[str, SourceSpec] = SPECS,
+    changed_days: bool = False,
 ) -> None:
-    """Ingest every source for one day and refresh each report once its sources are in."""
+    """Ingest every source for one day and refresh each report once its sources are in.
+
+    ``changed_days`` also refreshes every other day whose rows an ingestion changed: the day that an
+    order left or went to, or that a late row belongs to. By default these wait for a refresh of
+    their own. Rows without a date have no day to be refreshed.
+    """
 
     def step(report: Report) -> None:
-        _side_by_side(lambda name: ingest(spark, lake, specs[name], day), report.sources)
-        refresh_gold(spark, lake, report, day, specs)
+        changed: set = set()  # a set of days; each ingestion adds its own at once
+        _side_by_side(lambda name: ingest(spark, lake, specs[name], day, changed), report.sources)
+        more = changed - {None} if changed_days else ()
+        refresh_gold(spark, lake, report, [day, *more], specs)
 
     _side_by_side(step, REPORTS.values())
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.functions.days import Day, file_token, parse_days
-from finlake.sources.lake import Lake, path_exists, read_head
+from finlake.sources.lake import Lake, materialize, path_exists, read_head, read_heads
 
 FILE_DAY = "_file_day"
 
@@ -21,7 +22,9 @@ class SourceSpec:
     """One source: its files, its columns, and how its table is kept up to date.
 
     ``append_only`` sources replace the processed day; the others are upserted
-    by ``id_col``. ``schema`` may be None to infer types from the file.
+    by ``id_col``. ``schema`` may be None to take types from the values. ``widen`` lets an undeclared
+    stored column take a wider type that a file comes with, where it can without a rewrite; else
+    a value that does not fit the stored type is an error.
     """
 
     system: str
@@ -33,6 +36,7 @@ class SourceSpec:
     id_col: str | None = None
     append_only: bool = False
     csv_mode: str = "FAILFAST"
+    widen: bool = False
 
     def struct(self) -> T.StructType | None:
         return None if self.schema is None else T.StructType.fromDDL(self.schema)
@@ -95,35 +99,48 @@ def day_path(lake: Lake, spec: SourceSpec, day: Day) -> str:
     return f"{lake.bronze}/{spec.system}/{spec.table}/{spec.prefix}_{file_token(day)}.csv"
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file (or folder of part files); raises if it is missing or has no byte.
+_TOKEN = r".*_(\d{4}_\d{2}_\d{2})\.csv"
+#: So few files are looked at by the driver itself, which is quicker than a job.
+FEW = 1
+
+
+def _parsed(path: str, line: str | None) -> tuple[str, ...]:
+    """Column names of one file.
 
     A day without rows still has a header. An empty file is a broken delivery, and
     taking it for an empty day would delete the day that is stored.
     """
-    if not path_exists(spark, path):
-        spark.read.csv(path)  # raises Spark's own error
-    line = read_head(spark, path)
     if line is None or not line.strip("\ufeff "):
         raise ValueError(f"{path} is empty, it does not even have a header")
     return tuple(next(csv.reader([line.removeprefix("\ufeff")])))
 
 
-def _scan(
-    spark: SparkSession, spec: SourceSpec, paths: list[str], header: tuple[str, ...]
-) -> DataFrame:
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one file (or folder of part files); raises if it is missing or has no byte."""
+    if not path_exists(spark, path):
+        spark.read.csv(path)  # raises Spark's own error
+    return _parsed(path, read_head(spark, path))
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, ...]]:
+    """:func:`_header` of each file; of more than a few by one job, however many there are."""
+    if len(paths) <= FEW:
+        return [_header(spark, path) for path in paths]
+    # A day that is a folder of part files has the header of the first one that has a byte.
+    heads = read_heads(spark, paths).withColumn("day", F.regexp_extract("file", _TOKEN, 1))
+    lines = dict(heads.groupBy("day").agg(F.min_by("line", "file")).collect())
+    return [_parsed(path, lines.get(re.match(_TOKEN, path)[1])) for path in paths]
+
+
+def _scan(spark: SparkSession, spec: SourceSpec, paths: list[str], header: tuple[str, ...]) -> DataFrame:
     """Files that share a header.
 
     Known columns take the names and types of the spec, whatever their order and
-    case in the file; only columns the spec does not know are inferred.
+    case in the file; columns the spec does not know are text until :func:`typed`.
     """
     declared = spec.struct()
     known = {} if declared is None else {f.name.lower(): f for f in declared}
-    inferred = {}
-    if any(name.lower() not in known for name in header):
-        sample = spark.read.option("header", True).option("inferSchema", True).csv(paths)
-        inferred = {f.name.lower(): f for f in sample.schema}
-    fields = [known.get(name.lower()) or inferred[name.lower()] for name in header]
+    fields = [known.get(name.lower()) or T.StructField(name, T.StringType()) for name in header]
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(header, fields)])
     files = (
         spark.read.schema(schema)
@@ -133,31 +150,91 @@ def _scan(
         .csv(paths)
     )
     columns = [F.col(f"`{n}`").alias(f.name) for n, f in zip(header, fields)]
-    return files.select(*columns, F.col("_metadata.file_path").alias(FILE_DAY))
+    day = F.to_date(F.regexp_extract("_metadata.file_path", _TOKEN, 1), "yyyy_MM_dd")
+    return files.select(*columns, day.alias(FILE_DAY))
+
+
+# What text must look like to be of a type, narrowest type first; it must also be in the type's range.
+_WHOLE, _REAL = r"^[+-]?\d+$", r"^([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|-?Inf)$"
+LATTICE = [
+    ("int", _WHOLE),
+    ("bigint", _WHOLE),
+    ("decimal(38,0)", _WHOLE),
+    ("double", _REAL),
+    ("date", r"^\d{4}-\d{2}-\d{2}$"),
+    ("timestamp", r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"),
+    ("boolean", r"^(?i)(true|false)$"),
+]
+
+
+def narrowest_types(frames: list[DataFrame], names: list[str]) -> dict[str, T.DataType | None]:
+    """For each text column, by lower-case name, the narrowest type that holds all its values in all frames.
+
+    One aggregation per frame, over rows of all its files; None where there is no value. Whole numbers
+    on some days and others on the next are doubles; kinds with nothing in common stay text.
+    """
+    sums: dict[str, list[int]] = {name: [0] * (len(LATTICE) + 1) for name in names}
+    for frame in frames:
+        own = [c for c in frame.columns if c.lower() in sums]
+        counts = []
+        for name in own:
+            text = F.col(f"`{name}`")
+            fits = [F.count_if(text.rlike(look) & text.try_cast(kind).isNotNull()) for kind, look in LATTICE]
+            counts.append(F.array(F.count(text), *fits).alias(name))
+        for name, seen in zip(own, frame.agg(*counts).first() if own else ()):
+            sums[name.lower()] = [a + b for a, b in zip(sums[name.lower()], seen)]
+    return {name: _narrowest(seen) for name, seen in sums.items()}
+
+
+def _narrowest(seen: list[int]) -> T.DataType | None:
+    values, *fits = seen
+    if not values:
+        return None
+    kind = next((kind for (kind, _), n in zip(LATTICE, fits) if n == values), "string")
+    return T.StructType.fromDDL(f"x {kind}")[0].dataType
+
+
+def typed(frames: list[DataFrame], spec: SourceSpec, folder: str | None = None) -> list[DataFrame]:
+    """Frames of :func:`read_days` with their undeclared columns in one type each.
+
+    With a ``folder`` for intermediate tables the raw files are read once: rows are written there as
+    they come, and both the types and the values are taken from that copy. Without one
+    the raw files are read for the types, and again for the values.
+    """
+    declared = spec.struct()
+    known = set() if declared is None else {n.lower() for n in declared.fieldNames()}
+    unknown = sorted({c.lower() for f in frames for c in f.columns} - known - {FILE_DAY})
+    if not unknown:
+        return frames
+    if folder is not None:
+        frames = [materialize(frame, f"{folder}/raw{i}") for i, frame in enumerate(frames)]
+    kinds = narrowest_types(frames, unknown)
+    # Columns without a value: the date is known to be one, the others stay text.
+    kinds = {n: kind or (T.DateType() if n == spec.date_col.lower() else T.StringType()) for n, kind in kinds.items()}
+
+    def cast(frame: DataFrame) -> DataFrame:
+        casts = {c: F.col(f"`{c}`").cast(kinds[c.lower()]).alias(c) for c in frame.columns if c.lower() in kinds}
+        return frame.select(*(casts.get(c, F.col(f"`{c}`")) for c in frame.columns))
+
+    return [cast(frame) for frame in frames]
 
 
 def read_days(
-    spark: SparkSession, lake: Lake, spec: SourceSpec, days: Day | Iterable[Day]
+    spark: SparkSession, lake: Lake, spec: SourceSpec, days: Day | Iterable[Day], folder: str | None = None
 ) -> list[DataFrame]:
     """The files of some days, each row tagged with the day of its file.
 
     One frame per distinct header, so a column that appears half-way through
-    the range keeps its place; usually that is a single scan.
+    the range keeps its place; usually that is a single scan. ``folder`` is as in :func:`typed`.
     """
     paths = [day_path(lake, spec, day) for day in parse_days(days)]
-    headers = [_header(spark, path) for path in paths]
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
+    for path, header in zip(paths, _headers(spark, paths)):
         groups.setdefault(header, []).append(path)
-    token = F.regexp_extract(FILE_DAY, r".*_(\d{4}_\d{2}_\d{2})\.csv", 1)
-    return [
-        _scan(spark, spec, same, header).withColumn(FILE_DAY, F.to_date(token, "yyyy_MM_dd"))
-        for header, same in groups.items()
-    ]
+    return typed([_scan(spark, spec, same, header) for header, same in groups.items()], spec, folder)
 
 
-def read_day(spark: SparkSession, lake: Lake, spec: SourceSpec, day: Day) -> DataFrame:
+def read_day(spark: SparkSession, lake: Lake, spec: SourceSpec, day: Day, folder: str | None = None) -> DataFrame:
     """The file of one day. A missing file raises; a header-only file is an empty batch."""
-    path = day_path(lake, spec, day)
-    header = _header(spark, path)
-    return _scan(spark, spec, [path], header).drop(FILE_DAY)
+    (frame,) = read_days(spark, lake, spec, day, folder)
+    return frame.drop(FILE_DAY)

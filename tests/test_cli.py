@@ -2,7 +2,7 @@ import finlake.__main__ as cli
 from finlake import Lake
 from finlake.operators.explore import open_report
 
-from conftest import bag
+from frames import bag
 from test_pipeline import DAYS, clean_files
 
 

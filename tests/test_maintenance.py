@@ -7,7 +7,7 @@ import pytest
 from finlake.operators import maintenance as m
 from finlake.sources.lake import read_table, table_exists
 
-from conftest import bag
+from frames import bag
 
 SCHEMA = "id string, day date, amount int"
 A, B, C = "2025-04-15", "2025-04-16", "2025-04-17"

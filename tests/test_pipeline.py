@@ -10,7 +10,7 @@ from finlake.operators.maintenance import UpsertConflict
 from finlake.sources.daily_csv import day_path, read_day, read_days
 from finlake.sources.lake import read_table
 
-from conftest import bag
+from frames import bag
 
 DAYS = ["2025-04-15", "2025-04-16", "2025-04-17"]
 SALES = "data_venda,produto_id,filial_id,quantidade,valor_unitario"
@@ -50,6 +50,66 @@ def test_types_can_be_inferred(spark, lake, tmp_path):
     assert [kind for _, kind in batch.dtypes] == ["date", "int", "string", "int", "double"]
 
 
+def test_the_narrowest_type_that_holds_all_values_of_all_files(spark, lake, tmp_path):
+    spec = replace(SPECS["sales"], schema=None)
+    header = "data_venda,whole,big,huge,mixed,real,flag,time,odd,none"
+    put(tmp_path, lake, "sales", DAYS[0], header, f"{DAYS[0]},1,1,1,1,1.5,true,2025-01-01 10:00:00,1,")
+    put(tmp_path, lake, "sales", DAYS[1], header, f"{DAYS[1]},-7,3000000000,99999999999999999999,2.25,1e3,FALSE,2025-01-02,x,")
+    put(tmp_path, lake, "sales", DAYS[2], header)
+    for folder in (None, str(tmp_path / "copy")):
+        (rows,) = read_days(spark, lake, spec, DAYS, folder)
+        assert [kind for _, kind in rows.dtypes] == [
+            "date", "int", "bigint", "decimal(38,0)", "double", "double", "boolean", "timestamp", "string", "string", "date"
+        ]
+        assert sorted(r.mixed for r in rows.collect()) == [1.0, 2.25]
+
+
+def test_undeclared_files_are_read_once(spark, lake, tmp_path, capsys):
+    spec = replace(SPECS["sales"], schema=None)
+    put(tmp_path, lake, "sales", DAYS[0], SALES, f"{DAYS[0]},1,SP01,2,10")
+    rows = read_day(spark, lake, spec, DAYS[0], str(tmp_path / "copy"))
+    (tmp_path / day_path(lake, spec, DAYS[0]).removeprefix(f"{tmp_path}/")).unlink()
+    assert rows.collect()[0].valor_unitario == 10
+    rows.explain("formatted")
+    assert "Scan csv" not in capsys.readouterr().out
+
+
+def test_whole_numbers_one_day_and_others_the_next(spark, lake, tmp_path):
+    spec = replace(SPECS["sales"], schema=None, widen=True)
+    for day, price in zip(DAYS, ("100", "100.5", "7")):
+        put(tmp_path, lake, "sales", day, SALES, f"{day},1,SP01,2,{price}")
+        ingest(spark, lake, spec, day)
+    stored = silver(spark, lake, "sales")
+    assert dict(stored.dtypes)["valor_unitario"] == "double"
+    assert sorted(r.valor_unitario for r in stored.collect()) == [7.0, 100.0, 100.5]
+    put(tmp_path, lake, "sales", DAYS[2], SALES, f"{DAYS[2]},one,SP01,2,7")
+    with pytest.raises(Exception, match="column produto_id: one does not fit int"):
+        ingest(spark, lake, spec, DAYS[2])
+
+
+def test_headers_of_many_files_by_one_job(spark, lake, tmp_path, monkeypatch):
+    from finlake.sources import daily_csv
+
+    monkeypatch.setattr(daily_csv, "FEW", 1)
+    monkeypatch.setattr(daily_csv, "read_head", None)  # the driver opens none of them
+    more = "canal," + SALES
+    put(tmp_path, lake, "sales", DAYS[0], "\ufeff" + SALES, f"{DAYS[0]},1,SP01,2,1.0")
+    put(tmp_path, lake, "sales", DAYS[1], more)
+    folder = tmp_path / day_path(lake, SPECS["sales"], DAYS[2]).removeprefix(f"{tmp_path}/")
+    folder.mkdir()
+    for i, text in enumerate(["", f"{more}\nweb,{DAYS[2]},1,SP01,2,1.0\n", f"{more}\nweb,{DAYS[2]},2,SP01,2,1.0\n"]):
+        (folder / f"part-{i}.csv").write_text(text)
+    frames = read_days(spark, lake, SPECS["sales"], DAYS)
+    assert [f.columns[0] for f in frames] == ["data_venda", "canal"]
+    assert [f.count() for f in frames] == [1, 2]
+    (folder / "part-1.csv").write_text("")
+    (folder / "part-2.csv").write_text("")
+    with pytest.raises(ValueError, match="empty"):
+        read_days(spark, lake, SPECS["sales"], DAYS)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_days(spark, lake, SPECS["sales"], [*DAYS, "2025-04-20"])
+
+
 def test_columns_may_come_in_any_order_and_case(spark, lake, tmp_path):
     header = "Quantidade,filial_id,DATA_VENDA,produto_id,valor_unitario"
     put(tmp_path, lake, "sales", DAYS[0], header, f"7,SP01,{DAYS[0]},3,1.5")

@@ -121,6 +121,8 @@ def test_a_hot_stored_id_is_split(spark, tmp_path):
     assert counts["matched_ids"] == 2 + 2  # an id and day at a time
     searches = [p for p in final_plans(spark)[seen:] if "/hits" in p and "_copies" in p]
     assert any("skew=true" in plan for plan in searches)
+    rewrites = [p for p in final_plans(spark)[seen:] if "/updates" in p and "LeftOuter" in p]
+    assert any("skew=true" in plan for plan in rewrites)
 
 
 def test_rows_without_an_id_pass_by_the_join(spark, tmp_path, plan):

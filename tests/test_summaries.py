@@ -2,7 +2,7 @@ import pytest
 
 from finlake.operators import summaries
 
-from conftest import bag
+from frames import bag
 
 SALES = "data_venda date, produto_id int, filial_id string, quantidade int, valor_unitario double"
 RETURNS = "data_devolucao date, produto_id int, filial_id string, quantidade int"
