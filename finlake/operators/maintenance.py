@@ -337,6 +337,11 @@ def may_match(rows: DataFrame, id_col: str, bloom: DataFrame, words: int) -> Dat
     return rows.join(F.broadcast(bloom), same, "left_semi")
 
 
+def _is_broadcast(spark: SparkSession, table: str) -> bool:
+    """Whether Spark broadcasts a written table by its size, so that a join with it shuffles and splits nothing."""
+    return folder_bytes(spark, table) <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def _search(ids: DataFrame, id_col: str, wanted: DataFrame, bounds: dict, folder: str) -> DataFrame:
     """Stored ids that the batch has, with what is wanted of them.
 
@@ -348,8 +353,7 @@ def _search(ids: DataFrame, id_col: str, wanted: DataFrame, bounds: dict, folder
     if not bounds.get("n"):
         return ids.limit(0).join(wanted, id_col)
     near = ids.where(F.col(id_col).between(F.lit(bounds["low"]), F.lit(bounds["high"])))
-    broadcast = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if folder_bytes(spark, f"{folder}/wanted") > broadcast:
+    if not _is_broadcast(spark, f"{folder}/wanted"):
         bloom, words = id_filter(wanted, id_col, bounds["n"])
         near = may_match(near, id_col, materialize(bloom, f"{folder}/bloom"), words)
     return near.join(wanted, id_col)
@@ -379,8 +383,8 @@ def upsert(
     The stored table is searched once, reading only ids that lie between the batch's
     least and largest one, and shuffling only those that a Bloom filter over
     the batch's ids lets pass; so the rows shuffled grow with the batch and not
-    with the table. The joins behind the search and the rewrite have
-    written tables on both sides, so Spark splits a stored id or a batch id that very many rows have. Then days that hold a
+    with the table. A batch that is not small enough to be broadcast is written before each join, search
+    and rewrite, so Spark splits a stored id or a batch id that very many rows have. Days that hold a
     match are rewritten, and everything else is appended. Rows that leave a day
     are removed before they are added elsewhere, so running a broken upsert
     again completes it instead of duplicating rows.
@@ -425,9 +429,8 @@ def upsert(
 
         # All columns of the days to be rewritten, which must stay whole.
         target = stored_ids
-        if touched:
-            days = [row["_from"] for row in touched]
-            target = read_partitions(spark, path, date_col, days, stored_ids.schema, whole)
+        if touched and not whole:
+            target = read_partitions(spark, path, date_col, [row["_from"] for row in touched], stored_ids.schema)
         columns = target.columns
         batch = conform(batch, target.schema, missing="error")
         additions, matched_ids = batch, hits.select(id_col)
@@ -437,15 +440,18 @@ def upsert(
             additions = batch.join(matched_ids, id_col, "left_anti").select(*columns)
             updates = batch.join(matched_ids, id_col, "left_semi").select(id_col, F.struct(*columns).alias("_new"))
             stays = F.col("_new").isNull() | F.col(f"_new.{date_col}").eqNullSafe(F.col(date_col))
+            large = not _is_broadcast(spark, f"{folder}/batch")
             with ThreadPoolExecutor(2) as pool:
-                written = pool.submit(materialize, updates, f"{folder}/updates")
+                if large:
+                    written = pool.submit(materialize, updates, f"{folder}/updates")
                 if losing:
                     stored = target.where(on_days(F.col(date_col), losing)).select(id_col, date_col)
                     gone = hits.where(leaves).select(F.col(id_col).alias("_id"), "_from")
                     same = (F.col(id_col) == F.col("_id")) & F.col(date_col).eqNullSafe(F.col("_from"))
                     held = stored.join(gone, same, "left_anti").select(date_col).distinct()
                     holding = pool.submit(held.collect)
-                updates = written.result()
+                if large:
+                    updates = written.result()
                 if losing:
                     moved = stored.join(updates, id_col).where(~stays).select("_new.*")
                     additions = additions.unionByName(materialize(moved, f"{folder}/moved"))
