@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +30,34 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+_made: ContextVar[list[Workspace] | None] = ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def workspaces() -> Iterator[list[Workspace]]:
+    """Lists the workspaces that are made inside, for the caller to drop once their results are written."""
+    made: list[Workspace] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+
+
 class Workspace:
     """Intermediate tables of one run, written once and read back, so that no lineage is run twice.
 
-    They survive the loss of executors. ``drop`` removes a table that nothing reads any more.
+    They survive the loss of executors. ``drop`` removes tables that nothing reads any more, ``drop_all``
+    the whole folder. A result that is not written yet may still read tables, so what is left goes when
+    this process ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.count = spark, shared_folder(spark), 0
+        atexit.register(self._forget)
+        listed = _made.get()
+        if listed is not None:
+            listed.append(self)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -44,11 +67,24 @@ class Workspace:
         kept.workspace_path = path
         return kept
 
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(table.workspace_path)
-            conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-            where.getFileSystem(conf).delete(where, True)
+            self._delete(table.workspace_path)
+
+    def drop_all(self) -> None:
+        if self.count:
+            self._delete(self.root)
+        self.count = 0
+        atexit.unregister(self._forget)
+
+    def _forget(self) -> None:
+        """Best effort: the session may have ended before."""
+        with contextlib.suppress(Exception):
+            self.drop_all()
 
 
 def held_out(doc_id: str, folds: int, fold: int):

@@ -317,9 +317,9 @@ def linked_pairs(sides: DataFrame, percent: int) -> DataFrame:
     return dealt.select("one", "two", "side", "node", "component", "tokens").mapInArrow(link, "a long, b long")
 
 
-def _blocks(keys: DataFrame, key: str, salt: int) -> DataFrame:
+def _blocks(keys: DataFrame, key: str, salt: int, inner: Workspace) -> DataFrame:
     """The rows with a ``block_<key>``: those of one key, cut by a hash into parts of about BLOCK rows."""
-    sizes = keys.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    sizes = inner.save(keys.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).alias("parts")))
     part = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))
     return keys.join(sizes, key).withColumn(f"block_{key}", F.xxhash64(key, part, F.lit(salt))).drop(key, "parts")
 
@@ -349,7 +349,8 @@ def jaccard_components(
     """Per document row: ``id``, ``n`` (shingles) and ``component`` (the smallest id reachable by links)."""
     if not 0 < percent <= 100:
         raise ValueError("percent is from 1 to 100")
-    work = Workspace(docs.sparkSession)
+    # What the result is read from, and what goes once the components are written.
+    work, inner = Workspace(docs.sparkSession), Workspace(docs.sparkSession)
     last = frequent_tokens(docs, text, size)
     rows = work.save(described(docs, doc_id, text, size, percent, last))
     nodes = work.save(
@@ -357,25 +358,30 @@ def jaccard_components(
         .groupBy("sig1", "sig2", "n", "need")
         .agg(F.min("id").alias("node"), F.first("first").alias("first"))
     )
-    # Tokens among the first of two nodes or more.
+    # Tokens among the first of two nodes or more. Counts are written before they are joined to what they
+    # count, so that Spark splits the partitions of a token that very many nodes hold.
     held = nodes.select("node", F.explode("first").alias("token"))
-    often = held.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = work.save(held.join(often, "token"))
+    often = inner.save(held.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
+    shared = inner.save(held.join(often, "token"))
     found = shared.groupBy("node").agg(
         F.count("*").alias("common"), F.max(F.struct("df", "token"))["token"].alias("key1"), F.min("token").alias("key2")
     )
     enough = found.join(nodes.select("node", "n", "need"), "node").where("common >= need").drop("common")
-    enough = work.save(enough)
-    sets = work.save(token_sets(docs, doc_id, text, size, _marked_ids(enough, "node")))
-    keys = work.save(_blocks(_blocks(_bounded(enough, sets, percent), "key1", 1), "key2", 2))
-    sets = work.save(sets.join(keys.select("node", "block_key1", F.col("block_key2").alias("other")), "node"))
-    groups = work.save(linked_blocks(sets, "block_key1", percent))
+    enough = inner.save(enough)
+    sets = inner.save(token_sets(docs, doc_id, text, size, _marked_ids(enough, "node")))
+    bounded = inner.save(_bounded(enough, sets, percent))
+    inner.drop(enough, often)
+    keys = inner.save(_blocks(inner.save(_blocks(bounded, "key1", 1, inner)), "key2", 2, inner))
+    whole, sets = sets, inner.save(sets.join(keys.select("node", "block_key1", F.col("block_key2").alias("other")), "node"))
+    inner.drop(whole, bounded)
+    groups = inner.save(linked_blocks(sets, "block_key1", percent))
     leaders = groups.where("tokens is not null").select(F.col("a").alias("node"), "other", "tokens")
-    second = work.save(linked_blocks(leaders, "other", percent).select("a", "b"))
+    second = inner.save(linked_blocks(leaders, "other", percent).select("a", "b"))
     links = groups.select("a", "b").unionByName(second)
-    linked = work.save(components(links, work))
+    linked = inner.save(components(links, inner))
     stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = work.save(components(stars.unionByName(_across(shared, keys, sets, linked, work, percent)), work))
+    final = work.save(components(stars.unionByName(_across(shared, keys, sets, linked, inner, percent)), inner))
+    inner.drop_all()
     by_set = nodes.join(final.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left").select(
         "sig1", "sig2", F.coalesce("component", "node").alias("component")
     )
@@ -392,8 +398,9 @@ def _across(shared: DataFrame, keys: DataFrame, sets: DataFrame, linked: DataFra
     tokens = holders.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least")
     )
+    tokens = work.save(tokens.where("low <> high").select("token", "least"))
     partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    bridging = holders.join(tokens.where("low <> high").select("token", "least"), "token")
+    bridging = holders.join(tokens, "token")
     bridging = work.save(bridging.where(_allows(F.col("s"), F.col("n"), partner, percent)).drop("least"))
     matrix = work.save(
         bridging.groupBy("token", "block").agg(

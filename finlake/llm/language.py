@@ -3,12 +3,17 @@
 Each word is scored for every language by the letters in it with their neighbours (hashed into
 ``2 ** BITS`` buckets, add-one smoothed). The writing system of its first letter leaves only the
 languages that use it. A Viterbi path over the words, with a penalty for each switch, labels them;
-neighbours of one label form a span, and the language with the most letters is the text's.
+neighbours of one label form a span, and the language with the most letters is the text's. Any number of
+languages may be learned.
 
 The model is fitted on a sample of labelled rows, of about ``sample`` rows drawn by a hash of the id
 (a documented bound); its size is buckets times languages. All rows are labelled, over their whole text.
 
-A null text, or one without a letter, is ``und`` with score 0 and no spans. Rows without a label are not
+``evidence`` says whether the text is any of the languages at all, however many it mixes: the mean over its
+letters of how much likelier, in bits, each is in its span's language than in letters drawn at random. Letter soup has less
+than 0.
+
+A null text, or one without a letter, is ``und`` with score and evidence 0 and no spans. Rows without a label are not
 learned from. With nothing to learn from, all is ``und``. The score is the share of letters in spans of
 the text's language; of equal languages the first by name wins.
 """
@@ -32,7 +37,7 @@ SAMPLE = 20_000
 CLIP = 8.0
 SWITCH = 12.0
 UNKNOWN = "und"
-RESULT = "lang_pred string, score double, spans array<struct<begin:int,end:int,lang:string>>"
+RESULT = "lang_pred string, score double, evidence double, spans array<struct<begin:int,end:int,lang:string>>"
 
 
 @dataclass(frozen=True)
@@ -91,14 +96,18 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
 
 
 def word_scores(words: LetterWords, model: Model) -> np.ndarray:
-    """Word, language: log-probability, clipped below the best of the candidates."""
+    """Word, language: log-probability of a candidate, clipped below the best of them; minus infinity for the others.
+
+    The candidates of a word are the languages that use its script, or all where none does.
+    """
     if not len(words.starts):
         return np.zeros((0, len(model.languages)), np.float32)
     sizes = words.ends - words.starts
     first = np.cumsum(sizes) - sizes
     scores = np.add.reduceat(model.scores[words.grams(BITS)], first, axis=0)
-    scores = np.where(model.uses[words.scripts()], scores, -np.inf)
-    return np.maximum(scores, scores.max(axis=1, keepdims=True) - CLIP).astype(np.float32)
+    candidate = model.uses[words.scripts()]
+    best = np.where(candidate, scores, -np.inf).max(axis=1, keepdims=True)
+    return np.where(candidate, np.maximum(scores, best - CLIP), -np.inf).astype(np.float32)
 
 
 def best_path(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray:
@@ -108,8 +117,9 @@ def best_path(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarr
     starts, sizes = bounds[:-1][order], sizes[order]
     longest = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(longest), "left")
-    came = np.zeros(scores.shape, np.int8)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    kind = np.min_scalar_type(max(1, scores.shape[1]))  # holds any number of languages
+    came = np.zeros(scores.shape, kind)
+    own = np.arange(scores.shape[1], dtype=kind)
     value = np.zeros((len(sizes), scores.shape[1]), np.float32)
     for t in range(longest):
         n = active[t]
@@ -120,7 +130,7 @@ def best_path(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarr
         stays = now >= moved
         came[at] = np.where(stays, own, best[:, None])
         value[:n] = np.where(stays, now, moved) + scores[at]
-    labels = np.zeros(len(scores), np.int8)
+    labels = np.zeros(len(scores), np.int64)
     state = value.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
         n = active[t]
@@ -143,12 +153,15 @@ def _label(texts: pa.Array, model: Model, switch: float) -> pa.Array:
     offset = [s - np.repeat(t[:-1], np.diff(b)) for b, t, s, _ in words_of]
     starts = np.concatenate([[]] + offset).astype(np.int64)
     sizes = np.concatenate([[]] + [e - s for _, _, s, e in words_of]).astype(np.int64)
-    labels = best_path(np.concatenate(scores or [np.zeros((0, len(model.languages)))]), bounds, switch)
+    scored = np.concatenate(scores or [np.zeros((0, len(model.languages)))])
+    labels = best_path(scored, bounds, switch)
+    likely = np.concatenate(([0.0], np.cumsum(scored[np.arange(len(labels)), labels], dtype=np.float64)))
     owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
     letters = np.zeros((len(texts), len(model.languages)), np.int64)
     np.add.at(letters, (owner, labels), sizes)
     best, total = letters.argmax(axis=1), letters.sum(axis=1)
     share = np.where(total > 0, letters[np.arange(len(texts)), best] / np.maximum(total, 1), 0.0)
+    evidence = (likely[bounds[1:]] - likely[bounds[:-1]]) / np.maximum(total, 1) / np.log(2) + np.where(total > 0, BITS, 0)
     new = np.ones(len(labels), bool)
     new[1:] = (labels[1:] != labels[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
@@ -165,12 +178,13 @@ def _label(texts: pa.Array, model: Model, switch: float) -> pa.Array:
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(first, bounds), pa.int32()), spans)
     named = pa.array(np.where(total > 0, best, -1), pa.int32(), mask=total == 0)
     return pa.StructArray.from_arrays(
-        [names.take(named).fill_null(UNKNOWN), pa.array(share), lists], ["lang_pred", "score", "spans"]
+        [names.take(named).fill_null(UNKNOWN), pa.array(share), pa.array(evidence), lists],
+        ["lang_pred", "score", "evidence", "spans"],
     )
 
 
 def label(text: str | Column, model: Model, df: DataFrame, switch: float = SWITCH) -> Column:
-    """A struct for each text: ``lang_pred``, ``score`` and ``spans`` (code points ``begin`` to ``end``, ``lang``)."""
+    """A struct for each text: ``lang_pred``, ``score``, ``evidence``, ``spans`` (code points ``begin`` to ``end``, ``lang``)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)
@@ -180,9 +194,10 @@ def label(text: str | Column, model: Model, df: DataFrame, switch: float = SWITC
                 runs = slices(iter([pa.record_batch({"text": texts})]), "text", 4 << 20)
                 yield pa.concat_arrays([_label(run.column("text"), shared.value, switch) for run in runs])
             else:
-                nothing = {"lang_pred": UNKNOWN, "score": 0.0, "spans": []}
+                nothing = {"lang_pred": UNKNOWN, "score": 0.0, "evidence": 0.0, "spans": []}
                 kind = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
-                whole = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.list_(kind))])
+                numbers = [("score", pa.float64()), ("evidence", pa.float64())]
+                whole = pa.struct([("lang_pred", pa.string()), *numbers, ("spans", pa.list_(kind))])
                 yield pa.array([nothing] * len(texts), whole)
 
     return apply(text)

@@ -10,7 +10,8 @@ digests of block and payload. A damaged record raises an error with its archive
 
 Payloads that are equal, and of at least ``least`` bytes, are stored once: the page with the largest id
 is the response, and the others are revisit records, which name that page and carry no payload. The
-search for them moves digests, not pages: they are counted by digest before the shuffle.
+search counts digests, before any shuffle by task, and writes those that come again. Pages move only to be joined with
+these where they are too many to be broadcast.
 
 A null html is an empty payload. Rows that repeat the largest id of a payload are responses each. Pages
 without an id are written as responses.
@@ -153,7 +154,11 @@ def records(content: bytes, name: str = "") -> Iterator[tuple]:
 
 
 def with_revisits(pages: DataFrame, page_id: str, html: str, url: str, least: int) -> DataFrame:
-    """(id, url, payload, refers_to, revisit) of each page."""
+    """(id, url, payload, refers_to, revisit) of each page.
+
+    The digests that come more than once, with their largest page, are written before the pages are joined to them: where
+    they are few Spark broadcasts them and no page moves, and else it splits the pages of a digest that very many have.
+    """
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(page_id).cast("long").alias("id"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -164,6 +169,7 @@ def with_revisits(pages: DataFrame, page_id: str, html: str, url: str, least: in
         .where("copies > 1 and largest is not null")
         .select("same", "largest")
     )
+    often = Workspace(pages.sparkSession).save(often)
     joined = rows.join(often, F.col("digest") == F.col("same"), "left")
     revisit = F.col("largest").isNotNull() & F.col("id").isNotNull() & (F.col("id") < F.col("largest"))
     return joined.select("id", "url", "payload", F.when(revisit, F.col("largest")).alias("refers_to"), revisit.alias("revisit"))
