@@ -66,3 +66,31 @@ def test_path_against_brute_force():
         rows = np.arange(begin, end)
         best = max(value(list(p), rows) for p in np.ndindex(*[3] * len(rows)))
         assert value(labels[rows].tolist(), rows) == pytest.approx(best, abs=1e-5)
+
+
+def test_two_hundred_languages(spark):
+    """Labels hold any number of languages; each has words of its own."""
+    rnd = random.Random(5)
+    words = [["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for _ in range(200)]
+    rows = [(i, " ".join(rnd.choices(own, k=30)), f"l{i:03}") for i, own in enumerate(words)]
+    learned = fit(spark.createDataFrame(rows, SCHEMA))
+    texts = [" ".join(own) for own in words]
+    assert [r["lang_pred"] for r in labelled(spark, learned, texts)] == [f"l{i:03}" for i in range(200)]
+    path = best_path(np.eye(300, dtype=np.float32)[[250, 250, 7, 299]] * 50, np.array([0, 4]), 1.0)
+    assert path.tolist() == [250, 250, 7, 299]
+
+
+def test_a_script_leaves_only_its_languages(spark, model):
+    """Words of one script are never given to a language of another, whatever stands around."""
+    (mixed,) = labelled(spark, model, [" ".join(["weather", "хорошая"] * 20)])
+    assert [s["lang"] for s in mixed["spans"]] == ["en", "ru"] * 20
+
+
+def test_evidence_tells_languages_from_letter_soup(spark, model):
+    rnd = random.Random(6)
+    soup = " ".join("".join(rnd.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(40))
+    three = " ".join(made(t, rnd, 20) for t in (EN, DE, RU))
+    whole, mixed, nothing = labelled(spark, model, [EN, three, soup])
+    assert whole["evidence"] > 0 and mixed["evidence"] > 0 and mixed["score"] < 0.5
+    assert nothing["evidence"] < 0
+    assert [r["evidence"] for r in labelled(spark, model, [None, "", "1"])] == [0.0] * 3
