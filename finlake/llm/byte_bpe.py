@@ -27,7 +27,8 @@ from finlake.llm.common import slices
 NONE = 0xFFFFFFFF
 CHUNK_BYTES = 1 << 19
 BATCH_BYTES = 2 << 20
-CACHED = 300_000
+#: Pieces remembered from batch to batch: so many, of so many characters in all.
+CACHED, CACHED_SIZE = 300_000, 16 << 20
 
 
 class RankQueue:
@@ -99,6 +100,7 @@ class BytePairs:
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens; NONE where they don't merge or one is missing (-1)."""
@@ -167,8 +169,10 @@ class BytePairs:
                 chunk.append(piece)
                 held += len(piece)
         ids = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
-        if len(self.known) > CACHED:
+        self.held += sum(map(len, new))
+        if len(self.known) > CACHED or self.held > CACHED_SIZE:
             self.known.clear()
+            self.held = 0
         return ids
 
     def decode(self, ids: bytes) -> bytes:

@@ -194,3 +194,24 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) ->
             end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + most, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
+
+
+def by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows with equal keys, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(key).to_numpy(zero_copy_only=False) for key in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for column in columns:
+            change |= column[1:] != column[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            part = batch.slice(begin, end - begin)
+            if held and any(held[0].column(key)[0] != part.column(key)[0] for key in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)

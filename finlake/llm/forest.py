@@ -4,10 +4,10 @@ A tree splits its vectors at the median of a random projection, again and again,
 enough. Vectors within ``spill`` of a split go to both sides. Vectors are compared within leaves, exactly
 and in double precision; a pair of cosine ``threshold`` or more links, and links unite vectors.
 
-The splits of a tree are fitted on a sample of about ``sample`` rows drawn by a hash of the id, fewer
-where vectors are long, so that the sample takes 64 MB at most (documented bounds); every vector is
+The splits of a tree are fitted on a sample of about ``sample`` rows drawn by a hash of the id, of
+``sample_numbers`` components at most (documented bounds); every vector is
 indexed. Two vectors with cosine c are ``sqrt(2 - 2c)`` apart, and no
-further apart on any projection, so with a spill of that over the square root of the dimension few of
+further apart on any projection, so with a spill of half of that over the square root of the dimension few of
 them are parted, and several trees find almost all: recall is measured against brute force in the tests.
 
 A pair that meets in several leaves counts in the first only: the leaves of each vector travel with it,
@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import Workspace
+from finlake.llm.common import Workspace, by_key
 from finlake.llm.components import components
-from finlake.llm.jaccard import _by_key
 from finlake.llm.language import sampled
 
 TREES = 5
 LEAF = 256
 SAMPLE = 50_000
+SAMPLE_NUMBERS = 8 << 20
 PART = 2048
 LINKS = "a long, b long, links long"
 
@@ -79,13 +79,13 @@ def _leaves(tree: Tree, x: np.ndarray, spill: float) -> tuple[np.ndarray, np.nda
 
 def _unit(vectors: pa.Array, width: int) -> np.ndarray:
     """Vectors, all fit for it, at length 1 in double precision."""
-    x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
     x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _assigned(nodes: DataFrame, trees: list[Tree], width: int, spill: float) -> DataFrame:
-    """(node, weight, unit, leaves): the leaves of each vector over all trees, in ascending order."""
+    """(node, weight, vector, leaves): the leaves of each vector over all trees, in ascending order."""
     shared = nodes.sparkSession.sparkContext.broadcast(trees)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,12 +103,13 @@ def _assigned(nodes: DataFrame, trees: list[Tree], width: int, spill: float) ->
                 {
                     "node": batch.column("node"),
                     "weight": batch.column("weight"),
-                    "unit": pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * width, unit.ravel()),
+                    "vector": batch.column("vector"),
                     "leaves": pa.ListArray.from_arrays(offsets.astype(np.int32), leaves[order].astype(np.int32)),
                 }
             )
 
-    schema = "node long, weight long, unit array<double>, leaves array<int>"
+    kind = nodes.schema["vector"].dataType.simpleString()
+    schema = f"node long, weight long, vector {kind}, leaves array<int>"
     return nodes.select("node", "weight", "vector").mapInArrow(assign, schema)
 
 
@@ -144,11 +145,11 @@ def _compared(threshold: float, width: int):
     """Counts the links of each vector of a pair of parts of a leaf, and gives links that unite them."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, ["leaf", "one", "two"]):
+        for table in by_key(batches, ["leaf", "one", "two"]):
             table = table.combine_chunks()
             leaf, one, two = (table.column(c)[0].as_py() for c in ("leaf", "one", "two"))
             part, node, weight = (table.column(c).to_numpy() for c in ("part", "node", "weight"))
-            unit = table.column("unit").combine_chunks().flatten().to_numpy().reshape(-1, width)
+            unit = _unit(table.column("vector").combine_chunks(), width)
             left = np.flatnonzero(part == one)
             right = left if one == two else np.flatnonzero(part == two)
             if not len(left) or not len(right):
@@ -182,10 +183,10 @@ def _compared(threshold: float, width: int):
 
 
 def _links(
-    joinable: DataFrame, count: int, width: int, work: Workspace, threshold: float, trees: int, leaf: int, sample: int, seed: int
+    joinable: DataFrame, count: int, width: int, work: Workspace, threshold: float, trees: int, leaf: int, sample: tuple[int, int], seed: int
 ) -> DataFrame:
     """(a, b, links) of the vectors of one width: numbers of links by node, and links that unite nodes."""
-    some = _unit(sampled(joinable, "node", min(sample, (8 << 20) // width)).select("vector").toArrow().column(0).combine_chunks(), width)
+    some = _unit(sampled(joinable, "node", max(1, min(sample[0], sample[1] // width))).select("vector").toArrow().column(0).combine_chunks(), width)
     depth = max(0, int(np.ceil(np.log2(max(1, count) / leaf))))
     depth = min(depth, max(0, int(np.log2(max(1, len(some)) / 8))))  # a split rests on 8 rows of the sample or more
     rng = np.random.default_rng(seed)
@@ -197,7 +198,7 @@ def _links(
     dealt = in_leaf.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
     # Each part meets every part of its leaf, itself included, once.
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    met = met.select("leaf", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "weight", "unit", "leaves")
+    met = met.select("leaf", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "weight", "vector", "leaves")
     return work.save(
         met.repartition("leaf", "one", "two")
         .sortWithinPartitions("leaf", "one", "two")
@@ -213,11 +214,18 @@ def near_vectors(
     trees: int = TREES,
     leaf: int = LEAF,
     sample: int = SAMPLE,
+    sample_numbers: int = SAMPLE_NUMBERS,
     seed: int = 11,
 ) -> DataFrame:
-    """Per row: ``id``, ``n_links``, ``component`` (the smallest id reachable) and ``kept``."""
+    """Per row: ``id``, ``n_links``, ``component`` (the smallest id reachable) and ``kept``.
+
+    Splits are chosen from a sample of at most ``sample`` vectors and ``sample_numbers`` components, which the driver holds;
+    for trees deeper than these allow raise both.
+    """
     work = Workspace(vectors.sparkSession)
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    # Single precision travels as such; it is compared in double.
+    kind = "float" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vector"))
     clean = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce((F.size("vector") > 0) & clean & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", good).withColumn("key", F.when(good, F.sha2(F.array_join("vector", ",").cast("binary"), 256)))
@@ -230,7 +238,7 @@ def near_vectors(
     joinable = nodes.where("node is not null")
     widths = joinable.groupBy("width").count().orderBy("width").collect()
     found = [
-        _links(joinable.where(F.col("width") == w["width"]), w["count"], w["width"], work, threshold, trees, leaf, sample, seed)
+        _links(joinable.where(F.col("width") == w["width"]), w["count"], w["width"], work, threshold, trees, leaf, (sample, sample_numbers), seed)
         for w in widths
     ]
     found = reduce(DataFrame.unionByName, found) if found else vectors.sparkSession.createDataFrame([], LINKS)

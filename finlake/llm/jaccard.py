@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import NOT_BLANK, Words, Workspace, grams, mixed, slices
+from finlake.llm.common import NOT_BLANK, Words, Workspace, by_key, grams, mixed, slices
 from finlake.llm.components import components
 from finlake.llm.winnow import bitmap
 
@@ -232,27 +232,6 @@ class Matrix:
         np.bitwise_or.at(self.bits[home], self.sets[i] >> 3, (1 << (self.sets[i] & 7)).astype(np.uint8))
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows with equal keys, from batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(key).to_numpy(zero_copy_only=False) for key in keys]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for column in columns:
-            change |= column[1:] != column[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(cuts, cuts[1:]):
-            part = batch.slice(begin, end - begin)
-            if held and any(held[0].column(key)[0] != part.column(key)[0] for key in keys):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -266,7 +245,7 @@ def linked_blocks(members: DataFrame, block: str, percent: int) -> DataFrame:
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _by_key(batches, ["block"]):
+        for part in by_key(batches, ["block"]):
             nodes, other = part.column("node").to_pylist(), part.column("other").to_pylist()
             sets = _arrays(part.column("tokens"))
             matrix = Matrix(percent, sets)
@@ -291,7 +270,7 @@ def linked_pairs(sides: DataFrame, percent: int) -> DataFrame:
     """(a, b): links across pairs of blocks, for (one, two, side, node, component, tokens)."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pair in _by_key(batches, ["one", "two"]):
+        for pair in by_key(batches, ["one", "two"]):
             nodes, side, component = (pair.column(c).to_pylist() for c in ("node", "side", "component"))
             matrix, home, same = Matrix(percent, _arrays(pair.column("tokens"))), {}, {c: c for c in component}
 

@@ -4,7 +4,7 @@ Inside an Arrow function, rows are taken in batches of about the same number of
 lengths. A text, however long, is split at ASCII blanks: the tokenizer's normalizer turns blanks into
 one space, its pattern never matches across them, no blank composes with a neighbour and no special
 string holds one. So the counts of the parts add up to that of the text, and each different part is
-encoded once.
+encoded once. A text without such a blank is one part, for no other boundary is safe for every tokenizer file.
 
 A null or empty text has 0 tokens. Special strings inside a text count as the library counts them.
 """
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
-CACHED = 400_000
+#: Parts remembered from batch to batch: so many, of so many bytes in all.
+CACHED, CACHED_BYTES = 400_000, 32 << 20
 
 
 class Counter:
@@ -34,6 +35,7 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, int] = {}
+        self.held = 0
 
     def counts(self, texts: list[bytes]) -> list[int]:
         split = [text.split() for text in texts]  # bytes split at ASCII blanks only
@@ -41,8 +43,10 @@ class Counter:
         encoded = self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
         self.known.update(zip(new, map(len, encoded)))
         counts = [sum(map(self.known.__getitem__, parts)) for parts in split]
-        if len(self.known) > CACHED:
+        self.held += sum(map(len, new))
+        if len(self.known) > CACHED or self.held > CACHED_BYTES:
             self.known.clear()
+            self.held = 0
         return counts
 
 

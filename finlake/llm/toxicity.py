@@ -1,12 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words are classed as insults, threats, targets, negations, reports of speech, or others. Clauses end at
-punctuation and line ends. A clause that holds an insult or a threat is walked through one machine that
+punctuation, also that of other scripts, and line ends. A clause that holds an insult or a threat is walked through one machine that
 composes transducers for negation, reported speech, targets and series of insults (``grammar.py``). The
 clause scores of a text, not its single words, decide: their sum, the highest, how many there are and
 how dense they are go into a logistic function.
 
-Insults come from a seed list and from labelled rows: whole words, and beginnings of 4 to 8 letters for
+Insults come from a seed list and from labelled rows: whole words of up to 64 letters, and beginnings of 4 to 8 letters for
 words that are built on a stem, weighted by their log-odds where these are significant. Lexicon and
 logistic are fitted on a sample of about ``sample`` labelled rows drawn by a hash of the id (a
 documented bound), which also bounds the lexicon. All rows are scored, over their whole text.
@@ -33,7 +33,10 @@ from finlake.llm.letters import LetterWords
 
 SAMPLE = 20_000
 SEED_WEIGHT = 4.0
-SHORTEST, LONGEST = 4, 8
+#: Letters of a beginning that may be learned, and of a whole word.
+SHORTEST, LONGEST, WHOLE = 4, 8, 64
+#: Marks that end a clause.
+MARKS = ".,;:!?\n\r…‚„—;·،؛؟।॥。、！，．：；？｡､"
 #: The seed lexicon. Labelled rows may add insults and change their weights.
 SEEDS = {
     INSULT: "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting clown vermin",
@@ -106,7 +109,7 @@ class Scanner:
         scored = np.array(sorted(i for i, (kind, _) in found.items() if kind in (INSULT, THREAT)), np.int64)
         if not len(scored):
             return out
-        ends = np.isin(words.points, np.frombuffer(".,;:!?\n".encode("utf-32-le"), np.uint32))
+        ends = np.isin(words.points, np.frombuffer(MARKS.encode("utf-32-le"), np.uint32))
         clause = np.concatenate(([0], np.cumsum(ends)))[words.starts]
         begin, end = np.searchsorted(clause, clause[scored]), np.searchsorted(clause, clause[scored], "right")
         owner = np.searchsorted(words.bounds, scored, "right") - 1
@@ -132,11 +135,11 @@ def _terms(some: DataFrame) -> DataFrame:
             words = LetterWords(batch.column("text").to_pylist())
             owner = np.repeat(np.arange(batch.num_rows), np.diff(words.bounds))
             lengths = words.ends - words.starts
-            for size, at, hashed in _hashes(words, range(SHORTEST, 25)):
-                if size > LONGEST:  # beyond, only whole words
+            for size, at, hashed in _hashes(words, range(1, WHOLE + 1)):
+                if not SHORTEST <= size <= LONGEST:  # only whole words
                     at, hashed = at[lengths[at] == size], hashed[lengths[at] == size]
                 for whole in (False, True):
-                    take = (lengths[at] == size) if whole else np.full(len(at), size <= LONGEST)
+                    take = (lengths[at] == size) if whole else np.full(len(at), SHORTEST <= size <= LONGEST)
                     mine, keys = at[take], hashed[take]
                     _, first = np.unique(np.column_stack((owner[mine].astype(np.uint64), keys)), axis=0, return_index=True)
                     if not len(first):
