@@ -4,7 +4,9 @@ Passages are the lines of a file that speak of a licence, and for a licence file
 Passages and licence templates are sparse vectors of term frequencies weighted by inverse frequency over
 all passages; the template with the highest cosine of ``least`` or more names a passage's licence. A file
 takes the best of its passages. Before that, a licence file is compared as a whole with whole licence texts
-(``licence_texts``), under the same weights; a cosine of ``WHOLE`` or more names it, whatever its lines say.
+(``licence_texts``, public texts kept word for word), under the same weights; a cosine of ``WHOLE`` or more names it, whatever
+its lines say. Texts of one family differ in a few sentences only, so where a title with a version stands in the first lines
+of such a file, as in all GNU licences, the title names it: the Affero licence is not taken for its neighbour.
 A file without one inherits from the nearest directory above it that has
 a licence file: distinct directories are joined with their ancestors first, then files with their directory.
 
@@ -12,7 +14,8 @@ Equal passages are scored once, with their number as weight, so a notice in a th
 vector. The only broadcast side that Spark may choose is bounded by the fixed list of templates.
 
 Null and empty texts have no passages. Files with a null path inherit nothing. Rows may repeat; each
-keeps a result of its own. Of equal scores the licence last by name wins.
+keeps a result of its own. Of equal scores the licence last by name wins. Columns named as a result (in any case) are
+left out, all others are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm.common import Workspace
+from finlake.llm.middle import quoted
 
 LEAST = 0.5
 #: Licence texts resemble each other and all long texts; a file that is one, with its own names and years, is above this.
@@ -51,6 +55,10 @@ TEMPLATES = (
 )
 CUE = r"(?i)licen[cs]|copyright|spdx|all rights reserved|redistribut|permission is hereby|free software|public domain"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
+#: How the titles of the GNU family begin, and what they are called; the version follows.
+FAMILIES = (("affero ", "AGPL-"), ("lesser ", "LGPL-"), ("library ", "LGPL-"), ("", "GPL-"))
+TITLE = r"^(?:.{0,200}?\W)??gnu (affero |lesser |library |)general public license\W+version ([0-9]+(?:\.[0-9]+)?)"
+RESULTS = ("license", "score", "found", "from_dir")
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -72,6 +80,18 @@ def _terms(passage: Column) -> Column:
     return F.regexp_extract_all(F.lower(passage), F.lit(WORD), F.lit(0))
 
 
+def _title(text: Column) -> Column:
+    """The licence that the first lines of a text name as its title, or null."""
+    lines = F.filter(F.transform(F.split(text, r"\n"), F.trim), lambda line: line != "")
+    head = F.regexp_replace(F.lower(F.array_join(F.slice(lines, 1, 5), " ")), r"\s+", " ")
+    family, version = (F.regexp_extract(head, TITLE, i) for i in (1, 2))
+    name = F.lit(None)
+    for word, called in FAMILIES:
+        name = F.when(family == word, called).otherwise(name)
+    number = F.when(F.contains(version, F.lit(".")), version).otherwise(F.concat(version, F.lit(".0")))
+    return F.when(version != "", F.concat(name, number))
+
+
 def _scored(distinct: DataFrame, wholes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """(key, license, score): the best template of each distinct passage (key, passage, n); and the best text of wholes (key)."""
     templates = _templates(distinct.sparkSession)
@@ -102,18 +122,28 @@ def _scored(distinct: DataFrame, wholes: DataFrame, work: Workspace) -> tuple[Da
     return best.select("key", "best.license", "best.score"), named.select("key", "best.license", "best.score")
 
 
+def _renamed(files: DataFrame, path: str, text: str) -> DataFrame:
+    """(_kept, _path, _text): what is returned as it came, apart, so that no name in it matters."""
+    kept = [quoted(c) for c in files.columns if c != text and c.lower() not in RESULTS]
+    return files.select(
+        F.struct(*kept).alias("_kept"),
+        quoted(path).cast("string").alias("_path"),
+        F.coalesce(quoted(text), F.lit("")).alias("_text"),
+    )
+
+
 def license_scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """The frame without its text, with ``license``, ``score``, ``found`` (own, inherited or null) and ``from_dir``."""
-    work = Workspace(files.sparkSession)
+    work, files = Workspace(files.sparkSession), _renamed(files, path, text)
     name = F.element_at(F.split("_path", "/"), -1)
     is_file = F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))
-    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\n"), lambda line: line.rlike(CUE))
-    whole = F.when(is_file & (F.trim(F.coalesce(F.col(text), F.lit(""))) != ""), F.array_union(lines, F.array(F.trim(text)))).otherwise(lines)
-    kept = [c for c in files.columns if c not in (text, "license", "score", "found", "from_dir")]
+    text = F.col("_text")
+    lines = F.filter(F.split(text, r"\n"), lambda line: line.rlike(CUE))
+    whole = F.when(is_file & (F.trim(text) != ""), F.array_union(lines, F.array(F.trim(text)))).otherwise(lines)
     base = work.save(
-        files.withColumn("_path", F.col(path).cast("string")).select(
+        files.select(
             F.monotonically_increasing_id().alias("_row"),
-            F.struct(*kept).alias("_kept"),
+            "_kept",
             F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_dir"),
             is_file.alias("_is_file"),
             F.array_distinct(F.transform(whole, F.trim)).alias("_passages"),
@@ -123,14 +153,19 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", least
     held = base.select("_row", "_dir", "_is_file", F.explode("_passages").alias("passage"))
     distinct = held.groupBy("passage").agg(F.count("*").alias("n"))
     distinct = work.save(distinct.withColumn("key", F.monotonically_increasing_id()))
-    wholes = base.where("_whole is not null").select("_row", "_dir", "_is_file", F.col("_whole").alias("passage"))
+    wholes = base.where("_whole is not null").select(
+        "_row", "_dir", "_is_file", F.col("_whole").alias("passage"), _title(F.col("_whole")).alias("title")
+    )
     wholes = work.save(wholes.join(distinct.select("key", "passage"), "passage").drop("passage"))
     best, named = _scored(distinct, wholes, work)
     best = best.where(F.col("score") >= least)
     best = work.save(best.join(distinct.select("key", "passage"), "key").drop("key"))
     columns = ["_row", "_dir", "_is_file", "score", "license"]
     by_line = held.join(best, "passage").select(*columns, F.lit(0).alias("whole"))
-    by_text = wholes.join(named.where(F.col("score") >= WHOLE), "key").select(*columns, F.lit(1).alias("whole"))
+    by_text = wholes.join(named.where(F.col("score") >= WHOLE), "key")
+    gnu = F.col("title").isNotNull() & F.col("license").contains("GPL-")
+    by_text = by_text.withColumn("license", F.when(gnu, F.col("title")).otherwise(F.col("license")))
+    by_text = by_text.select(*columns, F.lit(1).alias("whole"))
     own = by_line.unionByName(by_text).groupBy("_row", "_dir", "_is_file").agg(F.max(F.struct("whole", "score", "license")).alias("own"))
     own = work.save(own)
     licensed = own.where("_is_file").groupBy(F.col("_dir").alias("above")).agg(F.max("own").alias("best"))

@@ -85,3 +85,29 @@ def test_whole_licence_texts(spark):
     files += [(f"{name}/x.py", "code") for name in texts]
     found = {r["path"]: r["license"] for r in license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
     assert found == {path: path.split("/")[0] for path, _ in files}
+
+
+def test_a_title_tells_texts_of_one_family_apart(spark):
+    folder = Path(licenses.__file__).parent / "licence_texts"
+    gpl = (folder / "GPL-3.0.txt").read_text()
+    affero = gpl.replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
+    affero = affero.replace("13. Use with the GNU Affero General Public License.", "13. Remote Network Interaction; Use with the GNU General Public License.")
+    lesser = (folder / "LGPL-2.1.txt").read_text()
+    files = [("a/LICENSE", affero), ("a/b/x.py", "code"), ("g/COPYING", gpl), ("g/y.py", ""), ("l/LICENSE.txt", lesser)]
+    files += [("n/LICENSE", "Some project, by its authors\n\n" + affero), ("u/UNLICENSE", (folder / "Unlicense.txt").read_text())]
+    files += [("i/LICENSE", (folder / "ISC.txt").read_text().replace("<year> <copyright holders>", "2001 Jane Roe"))]
+    found = {r["path"]: r["license"] for r in license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert found == {
+        "a/LICENSE": "AGPL-3.0", "a/b/x.py": "AGPL-3.0", "g/COPYING": "GPL-3.0", "g/y.py": "GPL-3.0",
+        "l/LICENSE.txt": "LGPL-2.1", "n/LICENSE": "AGPL-3.0", "u/UNLICENSE": "Unlicense", "i/LICENSE": "ISC",
+    }
+
+
+def test_clashing_names(spark):
+    columns = "`my.path` string, `the.text` string, License string, _path int, _dir int, `a.b` int, whole int, key int"
+    rows = [("p/LICENSE", "SPDX-License-Identifier: MIT", "x", 1, 2, 3, 4, 5), ("p/f", None, "y", 6, 7, 8, 9, 10), (None, "", "z", 1, 1, 1, 1, 1)]
+    got = license_scan(spark.createDataFrame(rows, columns), path="my.path", text="the.text")
+    assert got.columns == ["my.path", "_path", "_dir", "a.b", "whole", "key", "license", "score", "found", "from_dir"]
+    assert sorted((str(r["my.path"]), r["a.b"], r["license"], r["found"]) for r in got.collect()) == [
+        ("None", 1, None, None), ("p/LICENSE", 3, "MIT", "own"), ("p/f", 8, "MIT", "inherited"),
+    ]

@@ -44,7 +44,7 @@ def test_sql(spark, name):
 def test_every_operator_is_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
 
 
 def test_bpe_query(spark, library):

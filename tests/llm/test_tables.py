@@ -1,0 +1,129 @@
+"""Intermediate tables, and hot keys that Spark can split."""
+
+import os
+from glob import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from finlake.llm import components as stars
+from finlake.llm import jaccard, language, lines, warc
+from finlake.llm.common import Workspace, workspaces
+
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+}
+
+
+@pytest.fixture
+def final_plans(spark):
+    """The plans that ran since, with small thresholds and no broadcast."""
+    before = {key: spark.conf.get(key, None) for key in SMALL}
+    for key, value in SMALL.items():
+        spark.conf.set(key, value)
+
+    def plans():
+        store = spark._jsparkSession.sharedState().statusStore()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        runs = store.executionsList()
+        return [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+
+    seen = len(plans())
+    yield lambda: plans()[seen:]
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_star_of_links_is_split(spark, final_plans, monkeypatch):
+    monkeypatch.setattr(stars, "FEW", 0)
+    edges = spark.range(1, 30_001, numPartitions=6).selectExpr("0 as a", "id as b")
+    edges = edges.unionByName(spark.range(40_000, 70_000, numPartitions=6).selectExpr("id as a", "id + 100000 as b"))
+    found = stars.components(edges, Workspace(spark))
+    assert found.where("component = 0").count() == 30_001
+    assert any("skew=true" in plan for plan in final_plans())
+
+
+def test_pages_of_one_digest_are_split(spark, final_plans):
+    rows = spark.range(40_000, numPartitions=6).selectExpr(
+        "id as page_id", "'http://h/' as url", "if(id % 2 = 0, 'the same page', cast(id div 2 * 2 + id % 4 as string)) as html"
+    )
+    found = warc.with_revisits(rows, "page_id", "html", "url", 0)
+    found.write.format("noop").mode("overwrite").save()
+    assert any("skew=true" in plan for plan in final_plans())
+    assert found.where("revisit").count() >= 19_999
+
+
+def test_a_line_in_very_many_documents_is_split(spark, final_plans):
+    # Spark compares bytes, and rows of one key are packed well: so few other lines.
+    docs = spark.range(60_000, numPartitions=6).selectExpr("id as doc_id", "concat('shared line', if(id % 20 = 0, '\n' || id, '')) as text")
+    found = lines.dedup_lines(docs)
+    found.write.format("noop").mode("overwrite").save()
+    assert any("skew=true" in plan for plan in final_plans())
+    assert found.agg(F.sum("n_dropped")).first()[0] == 60_000
+
+
+def test_workspaces_are_listed_and_dropped(spark):
+    with workspaces() as made:
+        work = Workspace(spark)
+        table = work.save(spark.range(3))
+    Workspace(spark)
+    assert made == [work] and table.count() == 3
+    folder = work.root.removeprefix("file:")
+    assert os.path.isdir(folder)
+    work.drop_all()
+    work.drop_all()
+    assert not os.path.exists(folder)
+
+
+def test_jaccard_leaves_only_what_its_result_reads(spark):
+    docs = spark.createDataFrame([(i, f"one two three four five {i % 3}") for i in range(9)], "doc_id long, text string")
+    with workspaces() as made:
+        found = jaccard.jaccard_components(docs)
+    left = [len(glob(work.root.removeprefix("file:") + "/*")) for work in made]
+    assert sorted(left) == [0, 3]
+    assert {r["component"] for r in found.collect()} == {0, 1, 2}
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_keep_texts_in_several_languages_and_columns_of_any_name(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    long = docs.where("length(text) > 300 and lang is not null")
+    parts = [long.where(F.col("lang") == x).selectExpr("substr(text, 1, 250)").first() for x in ("en", "de", "fr", "es")]
+    three = " ".join(p[0] for p in parts if p)
+    soup = "xqzv wkjq zzxv qqkw vvxz jqkx " * 20
+    more = spark.createDataFrame([(-1, three, None, "s", len(three)), (-2, soup, None, "s", len(soup))], SCHEMA)
+    taken = docs.unionByName(more)
+    for name in ("_row", "_found", "_score", "_coded", "id", "component", "row", "found.it"):
+        taken = taken.withColumn(name, F.lit(name))
+    kept = corpus_pipeline.by_language(spark, taken, sf_dir)
+    assert kept.columns == taken.columns
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert -1 in ids and -2 not in ids
+    some = taken.where("doc_id < 40").where("doc_id >= 0")
+    for stage in (corpus_pipeline.without_toxic, corpus_pipeline.without_copies, corpus_pipeline.without_benchmark):
+        out = stage(spark, some, sf_dir)
+        assert out.columns == taken.columns and {r["_row"] for r in out.collect()} == {"_row"}
+    assert corpus_pipeline.as_tokens(spark, some, sf_dir).count() == some.count()
+
+
+def test_a_stage_drops_the_tables_of_those_before_it(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 30")
+    lazy = corpus_pipeline.without_copies(spark, docs, sf_dir)
+    held = list(corpus_pipeline._left)
+    chained = corpus_pipeline.without_benchmark(spark, lazy, sf_dir)  # reads what the one before has not written yet
+    assert chained.count() > 0
+    written = spark.createDataFrame(chained.collect(), docs.schema)
+    assert corpus_pipeline.without_benchmark(spark, written, sf_dir).count() == written.count()
+    assert not any(os.path.exists(work.root.removeprefix("file:")) for work in held)
+    corpus_pipeline.drop_left()
+    assert corpus_pipeline._left == []

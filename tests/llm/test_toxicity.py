@@ -83,3 +83,16 @@ def test_nothing_to_learn_from(spark):
         plain = fit(spark.createDataFrame(rows, SCHEMA))
         assert plain.stems == {}
         assert Scanner(plain).scores(["you idiot", "hello"]).round().tolist() == [1, 0]
+
+
+def test_words_of_any_length_and_marks_of_other_scripts(spark):
+    rows = []
+    for i in range(60):
+        rows += [(i, "you zog are here with us today", 1), (100 + i, "we walk along the river today with you", 0)]
+        rows += [(200 + i, "they are gra" + "na" * 15 + "bla here", 1), (300 + i, "they are here for tea today", 0)]
+    learned = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert learned.words["zog"][0] == toxicity.INSULT
+    assert learned.words["gra" + "na" * 15 + "bla"][0] == toxicity.INSULT
+    scan = toxicity.Scanner(learned)
+    one, two = scan.features(["not you idiot", "not you。idiot"])[:, 1]
+    assert two > one  # the mark ends the clause that the negation is in
