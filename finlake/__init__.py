@@ -2,7 +2,7 @@
 
 from finlake.operators.reports import REPORTS, Report
 from finlake.plans.ingest import ingest, ingest_range
-from finlake.plans.jobs import backfill, refresh_gold, run_day
+from finlake.plans.jobs import backfill, compact, refresh_gold, run_day
 from finlake.sources.daily_csv import SPECS, SourceSpec
 from finlake.sources.lake import Lake
 
@@ -13,6 +13,7 @@ __all__ = [
     "Report",
     "SourceSpec",
     "backfill",
+    "compact",
     "ingest",
     "ingest_range",
     "refresh_gold",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.days import Day, parse_days
-from finlake.operators.maintenance import create, replace_days
+from finlake.operators.maintenance import compact_days, create, replace_days
 from finlake.operators.reports import REPORTS, Report, get_report
 from finlake.plans.ingest import ingest, ingest_range
 from finlake.sources.daily_csv import SPECS, SourceSpec
@@ -78,6 +78,17 @@ def refresh_gold(
     return {}
 
 
+def compact(
+    spark: SparkSession, lake: Lake, spec: SourceSpec, days: Iterable[Day | None] | None = None
+) -> dict[str, int]:
+    """Pack the small files of some or all days of a source's table, as daily upserts leave them, sorted by id if it has one."""
+    if lake.fmt == "delta":
+        raise ValueError("Delta tables have a compaction of their own, OPTIMIZE")
+    path = lake.silver_path(spec.domain, spec.table)
+    order = (spec.id_col,) if spec.id_col else ()
+    return compact_days(spark, path, spec.date_col, days, order)
+
+
 def _side_by_side(step, things: Iterable) -> None:
     """Run jobs that share no table at the same time; the first error is raised once all are done."""
     things = list(things)

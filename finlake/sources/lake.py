@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 from itertools import islice
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,7 +109,7 @@ def kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
         held = json.loads(read_head(spark, file) or "")
         text = json.dumps(held["schema"], sort_keys=True)
         return T.StructType.fromJson(held["schema"]) if held["check"] == zlib.crc32(text.encode()) else None
-    except (ValueError, KeyError, TypeError):
+    except (ValueError, KeyError, TypeError, Py4JJavaError):
         return None
 
 
