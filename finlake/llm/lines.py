@@ -47,6 +47,17 @@ def numbered_rows(docs: DataFrame, work: Workspace, text: str = "text", doc_id:
     return work.save(docs.select(number, quoted(doc_id).alias("doc_id"), quoted(text).alias("text")))
 
 
+def occurrences(lines: DataFrame) -> DataFrame:
+    """(h1, h2, documents, first): in how many rows each key occurs and where first, by a stream over the sorted hashes."""
+    block = F.shiftright("row", 33).alias("block")  # the task that numbered the row
+    ranged = lines.select("h1", "h2", block, "row", "pos").repartitionByRange("h1", "h2", "block")
+    stream = Window.partitionBy("h1", "h2", "block").orderBy("row", "pos")
+    before = F.lag("row").over(stream)
+    seen = ranged.select("h1", "h2", "row", "pos", (before.isNull() | (before != F.col("row"))).alias("opens"))
+    counts = F.count_if("opens").alias("documents"), F.min(F.struct("row", "pos")).alias("first")
+    return seen.groupBy("h1", "h2").agg(*counts)
+
+
 def keep_bitmaps(
     rows: DataFrame, work: Workspace, documents: int = 10, least: int = 1, keep_first: bool = False
 ) -> DataFrame:
@@ -62,13 +73,7 @@ def keep_bitmaps(
     hashes = F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")
     lines = work.save(keyed.select("row", "n_lines", "pos", *hashes))
 
-    block = F.shiftright("row", 33).alias("block")  # the task that numbered the row
-    ranged = lines.select("h1", "h2", block, "row", "pos").repartitionByRange("h1", "h2", "block")
-    stream = Window.partitionBy("h1", "h2", "block").orderBy("row", "pos")
-    before = F.lag("row").over(stream)
-    seen = ranged.select("h1", "h2", "row", "pos", (before.isNull() | (before != F.col("row"))).alias("opens"))
-    counts = F.count_if("opens").alias("documents"), F.min(F.struct("row", "pos")).alias("first")
-    often = work.save(seen.groupBy("h1", "h2").agg(*counts).where(F.col("documents") >= documents))
+    often = work.save(occurrences(lines).where(F.col("documents") >= documents))
 
     found = lines.join(often, ["h1", "h2"])
     if keep_first:

@@ -90,9 +90,22 @@ def test_empty_table_long_text_and_clashing_names(spark):
     assert got[2]["kept"] == ""
 
 
-def test_plan_is_native_and_the_window_needs_no_shuffle_of_its_own(spark):
+def test_plan_is_native(spark):
     work = Workspace(spark)
     rows = lines.numbered_rows(spark.createDataFrame(list(enumerate(made())), SCHEMA), work)
     plan = lines.dedup_lines(rows.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     work.drop(rows)
+
+
+def test_the_stream_follows_the_range(spark):
+    """The window and the first step of the count take the sorted ranges as they are."""
+    hashed = spark.range(100).selectExpr("id % 7 as h1", "id % 7 as h2", "id as row", "cast(id % 3 as int) as pos")
+    counted = lines.occurrences(hashed)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.count("rangepartitioning") == 1
+    assert plan.index("partial_count") < plan.index("Window") < plan.index("rangepartitioning")
+    assert plan.index("hashpartitioning") < plan.index("partial_count")
+    assert {(r["h1"], r["documents"], r["first"]["row"]) for r in counted.collect()} == {
+        (k, len(range(k, 100, 7)), k) for k in range(7)
+    }
