@@ -341,7 +341,7 @@ def jaccard_components(
     # count, so that Spark splits the partitions of a token that very many nodes hold.
     held = nodes.select("node", F.explode("first").alias("token"))
     often = inner.save(held.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
-    shared = inner.save(held.join(often, "token"))
+    shared = inner.save(held.join(often.hint("merge"), "token"))
     found = shared.groupBy("node").agg(
         F.count("*").alias("common"), F.max(F.struct("df", "token"))["token"].alias("key1"), F.min("token").alias("key2")
     )
@@ -351,7 +351,9 @@ def jaccard_components(
     bounded = inner.save(_bounded(enough, sets, percent))
     inner.drop(enough, often)
     keys = inner.save(_blocks(inner.save(_blocks(bounded, "key1", 1, inner)), "key2", 2, inner))
-    whole, sets = sets, inner.save(sets.join(keys.select("node", "block_key1", F.col("block_key2").alias("other")), "node"))
+    # Joined in one way at every size of the table, not only from where the smaller side is too large to be broadcast.
+    placed = keys.select("node", "block_key1", F.col("block_key2").alias("other")).hint("merge")
+    whole, sets = sets, inner.save(sets.join(placed, "node"))
     inner.drop(whole, bounded)
     groups = inner.save(linked_blocks(sets, "block_key1", percent))
     leaders = groups.where("tokens is not null").select(F.col("a").alias("node"), "other", "tokens")
@@ -379,7 +381,7 @@ def _across(shared: DataFrame, keys: DataFrame, sets: DataFrame, linked: DataFra
     )
     tokens = work.save(tokens.where("low <> high").select("token", "least"))
     partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    bridging = holders.join(tokens, "token")
+    bridging = holders.join(tokens.hint("merge"), "token")
     bridging = work.save(bridging.where(_allows(F.col("s"), F.col("n"), partner, percent)).drop("least"))
     matrix = work.save(
         bridging.groupBy("token", "block").agg(
