@@ -9,23 +9,25 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finlake import Lake, backfill, ingest, ingest_range, refresh_gold, run_day
 from finlake.operators import explore, maintenance, summaries
 from finlake.operators.reports import REPORTS
-from finlake.sources.lake import materialize, read_table
+from finlake.sources.lake import delete_folder, materialize, read_table
 from finlake.sources.daily_csv import day_path
 from fixture_views import (
+    BASE_COLUMNS,
     LAKE_SPECS,
     LAKE_VIEWS,
+    needed,
     oracle,
     run_sql,
     view,
@@ -196,17 +198,30 @@ def compact_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lake(spark: SparkSession, sf_dir: str, *names: str) -> tuple[Lake, list[date]]:
-    """Raw files of some sources for every day of the test tables (header only where empty)."""
-    lake = _fresh_lake(spark)
-
-    def write(name: str) -> set[date]:
-        spec = LAKE_SPECS[name]
-        rows = materialize(view(spark, sf_dir, LAKE_VIEWS[name]), f"{lake.bronze}/rows/{name}")
-        write_files(rows, lake, name)
-        return {row[0] for row in rows.select(spec.date_col).distinct().collect()}
+    """Raw files of some sources for every day of the test tables (header only where empty).
 
-    with ThreadPoolExecutor(len(names)) as pool:
-        written = dict(zip(names, pool.map(write, names)))
+    The join that several of them need is written once, and each source goes from there to its files in one pass.
+    """
+    lake = _fresh_lake(spark)
+    joined = [name for name in names if "base" in needed(LAKE_VIEWS[name])]
+    folder = f"{lake.bronze}/rows/base"
+
+    def join() -> dict[str, DataFrame]:
+        if len(joined) < 2:
+            return {}
+        return {"base": materialize(view(spark, sf_dir, "base").select(*BASE_COLUMNS), folder)}
+
+    def write(name: str, stored: Future) -> set[date | None]:
+        day, seen = F.col(LAKE_SPECS[name].date_col), Observation()
+        rows = view(spark, sf_dir, LAKE_VIEWS[name], **(stored.result() if name in joined else {}))
+        found = F.collect_set(day).alias("days"), F.count_if(day.isNull()).alias("undated")
+        write_files(rows.observe(seen, *found), lake, name)
+        return {*seen.get["days"], *([None] if seen.get["undated"] else [])}
+
+    with ThreadPoolExecutor(len(names) + 1) as pool:
+        stored = pool.submit(join)
+        written = dict(zip(names, pool.map(lambda name: write(name, stored), names)))
+    delete_folder(spark, folder)
     days = set().union(*written.values())
     for name, own in written.items():
         spec = LAKE_SPECS[name]

@@ -116,7 +116,8 @@ def _surviving_rows(rows: DataFrame, spec: SourceSpec, days: list) -> DataFrame:
     A row dated on a processed day is deleted by that day's run if it came from
     an earlier file, and stays if it came from the same or a later one.
     """
-    deleted_later = F.col(spec.date_col).isin(days) & (F.col(spec.date_col) > F.col(FILE_DAY))
+    # Few rows are dated after their file, so the list of days is searched for these alone.
+    deleted_later = (F.col(spec.date_col) > F.col(FILE_DAY)) & F.col(spec.date_col).isin(days)
     return rows.where(~F.coalesce(deleted_later, F.lit(False))).drop(FILE_DAY)
 
 
@@ -126,25 +127,27 @@ def _latest_versions(rows: DataFrame, id_col: str, folder: str) -> DataFrame:
     The first file that has an id says how many rows there will be, the last one
     what they hold. From its second file on, an id may occur only once per file.
 
-    The newest version travels in the aggregate per id, so a single join remains.
-    Rows without an id, which may be many, do not go through it.
+    Most ids come in one file only. They take part in no more than an aggregate of days, which
+    says what ids come again; only the rows of these travel whole. Rows without an id, which may
+    be many, go through neither.
     """
     columns = [c for c in rows.columns if c != FILE_DAY]
     known = rows.where(F.col(id_col).isNotNull())
-    per_file = known.groupBy(id_col, FILE_DAY).agg(
-        F.count(F.lit(1)).alias("n"), F.first(F.struct(*columns)).alias("_row")
+    span = known.groupBy(id_col).agg(F.min(FILE_DAY).alias("_first"), F.max(FILE_DAY).alias("_last"))
+    several = materialize(span.where(F.col("_first") < F.col("_last")).drop("_last"), f"{folder}/several")
+    if several.isEmpty():
+        return rows.drop(FILE_DAY)
+    per_file = (
+        known.join(several, id_col)
+        .where(F.col(FILE_DAY) > F.col("_first"))
+        .groupBy(id_col, "_first", FILE_DAY)
+        .agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*columns)).alias("_row"))
     )
-    per_id = per_file.groupBy(id_col).agg(
-        F.min(FILE_DAY).alias("_first"),
-        F.count(F.lit(1)).alias("_files"),
-        F.max(F.struct((F.col("n") > 1).alias("several"), FILE_DAY)).alias("_repeat"),
-        F.max_by("_row", FILE_DAY).alias("_new"),
+    per_id = per_file.groupBy(id_col, "_first").agg(
+        F.max("n").alias("_most"), F.max_by("_row", FILE_DAY).alias("_new")
     )
-    again = materialize(per_id.where(F.col("_files") > 1), f"{folder}/again")
-    if again.isEmpty():
-        return rows.drop(FILE_DAY)
-    clash = again.where(F.col("_repeat.several") & (F.col(f"_repeat.{FILE_DAY}") > F.col("_first")))
-    if not clash.isEmpty():
+    again = materialize(per_id, f"{folder}/again")
+    if not again.where(F.col("_most") > 1).isEmpty():
         raise UpsertConflict(f"several rows of one file share a stored {id_col}")
     merged = (
         known.join(again.select(id_col, "_first", "_new"), id_col, "left")

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,21 @@ def day_path(lake: Lake, spec: SourceSpec, day: Day) -> str:
 
 
 _TOKEN = r".*_(\d{4}_\d{2}_\d{2})\.csv"
+
+
+def _file_day() -> Column:
+    """The day of the file that a row comes from, be that a file or a folder of part files.
+
+    It is cut out at its place before the first ``.csv`` of the last two names of the path; a pattern
+    over the whole path, which costs more than that, is kept for paths where no day stands there.
+    """
+    path = F.col("_metadata.file_path")
+    names = F.substring_index(path, "/", -2)
+    token = F.right(F.substring_index(names, ".csv", 1), F.lit(len("yyyy_MM_dd")))
+    anywhere = F.to_date(F.regexp_extract(path, _TOKEN, 1), "yyyy_MM_dd")
+    return F.coalesce(F.try_to_date(token, "yyyy_MM_dd"), anywhere)
+
+
 #: So few files are looked at by the driver itself, a few at a time, which is quicker than a job.
 FEW, AT_ONCE = 256, 8
 
@@ -152,8 +167,7 @@ def _scan(spark: SparkSession, spec: SourceSpec, paths: list[str], header: tuple
         .csv(paths)
     )
     columns = [F.col(f"`{n}`").alias(f.name) for n, f in zip(header, fields)]
-    day = F.to_date(F.regexp_extract("_metadata.file_path", _TOKEN, 1), "yyyy_MM_dd")
-    return files.select(*columns, day.alias(FILE_DAY))
+    return files.select(*columns, _file_day().alias(FILE_DAY))
 
 
 # What text must look like to be of a type, narrowest type first; it must also be in the type's range.

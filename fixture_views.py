@@ -6,6 +6,7 @@ summary has rows even in the smallest data set.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import replace
 from functools import cache
 
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 
 from finlake import SPECS, Lake, SourceSpec
 
+#: What other views take from "base".
+BASE_COLUMNS = [
+    *("dt", "produto_id", "filial_id", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+    *("l_quantity", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus"),
+]
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 # Each view lists the views it needs before it.
@@ -98,19 +104,25 @@ _VIEWS = {
 }
 
 
-def with_views(sql: str, *views: str) -> str:
-    """The statement with the named views, and what they need, as CTEs."""
+def needed(*views: str, stored: Iterable[str] = ()) -> list[str]:
+    """The named views and what they need, each after what it needs; what a ``stored`` one needs is left out."""
     order: list[str] = []
 
     def need(view: str) -> None:
-        for dependency in _VIEWS[view][0]:
+        for dependency in () if view in stored else _VIEWS[view][0]:
             need(dependency)
         if view not in order:
             order.append(view)
 
     for view in views:
         need(view)
-    ctes = ",\n".join(f"{view} as ({_VIEWS[view][1]})" for view in order)
+    return order
+
+
+def with_views(sql: str, *views: str, stored: Iterable[str] = ()) -> str:
+    """The statement with the named views, and what they need, as CTEs; ``stored`` ones are tables of that name."""
+    texts = {view: f"select * from {{{view}}}" if view in stored else _VIEWS[view][1] for view in needed(*views, stored=stored)}
+    ctes = ",\n".join(f"{view} as ({text})" for view, text in texts.items())
     return f"with {ctes}\n{sql}" if ctes else sql
 
 
@@ -120,19 +132,20 @@ def _table(application: str, sf_dir: str, name: str) -> DataFrame:
     return SparkSession.active().read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run_sql(spark: SparkSession, sf_dir: str, sql: str, *views: str) -> DataFrame:
-    text = with_views(sql, *views)
+def run_sql(spark: SparkSession, sf_dir: str, sql: str, *views: str, **stored: DataFrame) -> DataFrame:
+    """The statement over the tables; ``stored`` views are taken from these frames instead of being computed."""
+    text = with_views(sql, *views, stored=stored)
     application = spark.sparkContext.applicationId
     used = [name for name in TABLES if f"{{{name}}}" in text]
-    return spark.sql(text, **{name: _table(application, sf_dir, name) for name in used})
+    return spark.sql(text, **{name: _table(application, sf_dir, name) for name in used}, **stored)
 
 
 def oracle(sql: str, *views: str) -> str:
     return with_views(sql, *views).format(**{name: name for name in TABLES})
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return run_sql(spark, sf_dir, f"select * from {name}", name)
+def view(spark: SparkSession, sf_dir: str, name: str, **stored: DataFrame) -> DataFrame:
+    return run_sql(spark, sf_dir, f"select * from {name}", name, **stored)
 
 
 # The sources as they are declared to the library when the test tables feed them.
@@ -169,8 +182,8 @@ def write_files(rows: DataFrame, lake: Lake, name: str) -> None:
     token = F.date_format(spec.date_col, "yyyy_MM_dd")
     (
         rows.select(*spec.struct().fieldNames())
+        .hint("rebalance", spec.date_col)
         .withColumn("file", F.concat(F.lit(f"{prefix}_"), token, F.lit(".csv")))
-        .hint("rebalance", "file")
         .write.partitionBy("file")
         .option("header", True)
         .mode("append")

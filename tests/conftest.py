@@ -17,6 +17,8 @@ def spark():
         "spark.sql.codegen.wholeStage": "false",
         "spark.sql.codegen.factoryMode": "NO_CODEGEN",
         "spark.sql.shuffle.partitions": "2",
+        # Tests of plans take those after a place in this list, which must not be shortened in between.
+        "spark.sql.ui.retainedExecutions": "50000",
     }
     session = local_session(4, memory="4g", conf=quick)
     yield session

@@ -110,6 +110,24 @@ def test_headers_of_many_files_by_one_job(spark, lake, tmp_path, monkeypatch):
         read_days(spark, lake, SPECS["sales"], [*DAYS, "2025-04-20"])
 
 
+def test_the_day_is_that_of_the_daily_file(spark, lake, tmp_path):
+    """Also of a folder of part files, whatever these are called."""
+    folder = tmp_path / day_path(lake, SPECS["sales"], DAYS[0]).removeprefix(f"{tmp_path}/")
+    folder.mkdir(parents=True)
+    (folder / "late_2025_04_17.csv").write_text(f"{SALES}\n{DAYS[0]},2,SP01,2,1.0\n")
+    (rows,) = read_days(spark, lake, SPECS["sales"], DAYS[0])
+    assert [str(r._file_day) for r in rows.collect()] == [DAYS[0]]
+
+
+def test_the_day_is_found_below_a_folder_named_like_a_file(spark, lake, tmp_path):
+    spec = replace(SPECS["sales"], table="vendas.csv")
+    file = tmp_path / day_path(lake, spec, DAYS[1]).removeprefix(f"{tmp_path}/")
+    file.parent.mkdir(parents=True)
+    file.write_text(f"{SALES}\n{DAYS[1]},1,SP01,1,1.0\n")
+    (rows,) = read_days(spark, lake, spec, DAYS[1])
+    assert [str(r._file_day) for r in rows.collect()] == [DAYS[1]]
+
+
 def test_columns_may_come_in_any_order_and_case(spark, lake, tmp_path):
     header = "Quantidade,filial_id,DATA_VENDA,produto_id,valor_unitario"
     put(tmp_path, lake, "sales", DAYS[0], header, f"7,SP01,{DAYS[0]},3,1.5")

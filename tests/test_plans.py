@@ -1,6 +1,7 @@
 """The plans that make the queries hold at scale."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,10 @@ from finlake import Lake
 from finlake.operators import explore, maintenance, summaries
 from finlake.plans.ingest import _latest_versions
 from finlake.plans.jobs import build_report
-from finlake.sources.daily_csv import SPECS
+from finlake.sources.daily_csv import SPECS, read_days
+from finlake.sources.lake import path_exists
+
+from __spark_entry__ import LAKE_SPECS, raw_lake
 
 DAY = "2025-04-15"
 
@@ -133,3 +137,55 @@ def test_rows_without_an_id_pass_by_the_join(spark, tmp_path, plan):
     text = plan(merged).split("\n\n")[0]
     assert text.count("Join") == 1 and "Union" in text
     assert sorted((r.id or "", r.x) for r in merged.collect()) == [("", 3), ("a", 2)]
+
+
+def test_ids_of_one_file_travel_without_their_rows(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("cast(id as string) as id", "uuid() as note", f"date'{DAY}' as _file_day")
+    seen = len(final_plans(spark))
+    assert _latest_versions(rows, "id", str(tmp_path / "folder")).count() == 1000
+    searches = [p for p in final_plans(spark)[seen:] if "/folder/" in p]
+    assert searches and not any("first(" in p or "SortAggregate" in p for p in searches)
+
+
+def test_raw_files_join_the_lines_of_orders_once(spark, tmp_path):
+    line = (
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    tables = {
+        "region": ("r_regionkey bigint, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey bigint, n_name string, n_regionkey bigint", [(0, "N", 0)]),
+        "customer": ("c_custkey bigint, c_nationkey bigint", [(1, 0)]),
+        "supplier": ("s_suppkey bigint, s_nationkey bigint", [(1, 0)]),
+        "part": ("p_partkey bigint, p_brand string", [(1, "A"), (2, "B")]),
+        "orders": (
+            "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+            [(1, 1, 9.5, datetime(2025, 4, 2), "1")],
+        ),
+        "lineitem": (
+            line,
+            [
+                (1, n, 1 + n % 2, 1, float(n), 10.0 * n, 0.25, flag, "O", datetime(2025, 3 + n % 2, 5))
+                for n, flag in enumerate("NNRRAA")
+            ],
+        ),
+    }
+    for name, (columns, rows) in tables.items():
+        spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+    seen = len(final_plans(spark))
+    lake, days = raw_lake(spark, str(tmp_path), *LAKE_SPECS)
+    scans = [p for p in final_plans(spark)[seen:] if "/lineitem.parquet" in p]
+    assert len(scans) == 1
+    assert [str(day) for day in days] == ["2025-03-01", "2025-04-01"]
+    found = {}
+    for name, spec in LAKE_SPECS.items():
+        (files,) = read_days(spark, lake, spec, days)
+        rows = files.drop("_file_day").collect()
+        assert all(r[spec.date_col] == r._file_day for r in files.collect())
+        found[name] = sorted(tuple(str(v) for v in row) for row in rows)
+    assert found["sales"] == [("2025-03-01", "A", "ASIA", "0", "0.0"), ("2025-04-01", "B", "ASIA", "1", "10.0")]
+    assert [row[1:] for row in found["returns"]] == [("A", "ASIA", "2", "2025-03-01"), ("B", "ASIA", "3", "2025-04-01")]
+    assert found["stock"] == [("A", "ASIA", "4", "2025-03-01"), ("B", "ASIA", "5", "2025-04-01")]
+    assert found["freight"] == [("1", "9.5", "2025-04-01", "1", "N")]
+    assert sorted(float(row[2]) for row in found["taxes"]) == [0.0, 2.5, 5.0, 7.5, 10.0, 12.5]
+    assert not path_exists(spark, f"{lake.bronze}/rows/base")
