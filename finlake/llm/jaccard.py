@@ -5,7 +5,8 @@ shingle. Documents link when ``100 * |intersection| >= percent * |union|``. The
 connected component of each document; links inside a group of copies are not listed one by one.
 
 1. Equal sets become one node. Only nodes travel from there on.
-2. All nodes share one order of tokens: tokens that very many documents hold come last, others by hash.
+2. All nodes share one order of tokens: those of rarely used words come first, those that very many
+   documents hold last. So the first tokens of unlike texts stay different ones, however many texts there are.
    Of two linked sets, the first ``n - ceil(percent n) + k`` tokens share ``k`` or more, where ``k``
    grows with ``n`` (``_extra``). Nodes with fewer of these tokens in common with others link with nothing.
    Of those left, tokens that no other of them holds are counted: the others bound a node's overlap with
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +44,13 @@ from finlake.llm.winnow import bitmap
 BLOCK = 128
 #: A token counts as very frequent from so many documents on, of those met in slices where it has a few.
 FREQUENT, FEW = 64, 4
+#: How often words are used is kept by 2 ** SLOTS places; a task counts words until it holds HELD different ones.
+SLOTS, HELD = 20, 1 << 20
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
-def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+def _sets(words: Words, size: int) -> list[np.ndarray]:
     """The sorted distinct shingles of each text."""
-    words = Words(texts, NOT_BLANK)
     shingles = grams(words.hashes, size)
     out = []
     for begin, end in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
@@ -58,6 +61,23 @@ def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def _ranked_sets(words: Words, size: int, levels: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The sorted distinct shingles of each text; for each shingle the sum of its words' levels."""
+    shingles = grams(words.hashes, size)
+    of_word = levels[(words.hashes & np.uint64(len(levels) - 1)).astype(np.int64)]
+    upto = np.concatenate(([0], np.cumsum(of_word, dtype=np.int64)))
+    sets, ranks = [], []
+    for begin, end in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
+        if end - begin >= size:
+            tokens, at = np.unique(shingles[begin : end - size + 1], return_index=True)
+            sets.append(tokens)
+            ranks.append(upto[begin + at + size] - upto[begin + at])
+        else:
+            sets.append(grams(words.hashes[begin:end], end - begin) if end > begin else shingles[:0])
+            ranks.append(upto[end : end + len(sets[-1])] - upto[begin])
+    return sets, ranks
+
+
 def _needed(n, percent: int):
     """The least overlap of a set of n with any set that it links with."""
     return (percent * n + 99) // 100
@@ -85,42 +105,75 @@ def _shared_by_all(n: int, percent: int) -> int:
     return min(_extra(smallest), _needed(smallest, percent))
 
 
-def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
-    """A bitmap of tokens that very many documents hold; any set of tokens keeps the result right."""
+class Order(NamedTuple):
+    """The order that tokens have in all sets: by their words' levels, those of ``last`` after all others, then by hash."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = _sets(batch.column("text"), size)
-            found, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= FEW
-            yield pa.record_batch({"token": found[often].view(np.int64), "n": counts[often]})
+    last: np.ndarray  # a bitmap of tokens that very many documents hold
+    levels: np.ndarray  # by a word's hash: four times the binary logarithm of how often it is used
+
+
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([n for _, n in found]), len(keys)).astype(np.int64)
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "token long, n long")
-    often = counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-    return bitmap(often, "token")
 
+def token_order(docs: DataFrame, text: str, size: int, work: Workspace) -> Order:
+    """An order that puts tokens first which few documents hold; with any order the result is right."""
 
-def _first(tokens: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    def rows(keys: np.ndarray, counts: np.ndarray, word: bool) -> pa.RecordBatch:
+        often = counts >= FEW
+        n = int(often.sum())
+        return pa.record_batch({"word": pa.array([word] * n, pa.bool_()), "key": keys[often].view(np.int64), "n": counts[often]})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in slices(batches, "text"):
+            words = Words(batch.column("text"), NOT_BLANK)
+            yield rows(*np.unique(np.concatenate(_sets(words, size)), return_counts=True), word=False)
+            held.append(np.unique(words.hashes, return_counts=True))
+            if sum(len(keys) for keys, _ in held) > HELD:
+                held = [_summed(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield rows(*held.pop(), word=True)
+        if held:
+            yield rows(*_summed(held), word=True)
+
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "word boolean, key long, n long")
+    counted = work.save(counted.groupBy("word", "key").agg(F.sum("n").alias("n")))
+    last = bitmap(counted.where(~F.col("word") & (F.col("n") >= FREQUENT)), "key")
+    slots = counted.where("word").groupBy(F.col("key").bitwiseAND((1 << SLOTS) - 1).cast("int").alias("slot"))
+    used = slots.agg((4 * F.log2(F.sum("n"))).cast("short").alias("level")).toArrow()
+    levels = np.zeros(1 << SLOTS, np.uint8)
+    levels[used["slot"].to_numpy()] = used["level"].to_numpy()
+    work.drop(counted)
+    return Order(last, levels)
+
+
+#: Of ranks, which are sorted as numbers of 16 bits.
+_LAST = 1 << 15
+
+
+def _first(tokens: np.ndarray, ranks: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens of a set, in the order that all sets share."""
     n = len(tokens)
     if n < _least_size(percent):
         return tokens[:0]
     late = last[(tokens & np.uint64(len(last) - 1)).astype(np.int64)]
-    order = np.concatenate((tokens[~late], tokens[late]))
-    return order[: min(n, n - _needed(n, percent) + min(_extra(n), _needed(n, percent)))]
+    key = np.minimum(ranks, _LAST - 1).astype(np.uint16) | late.astype(np.uint16) * np.uint16(_LAST)
+    return tokens[np.argsort(key, kind="stable")[: min(n, n - _needed(n, percent) + min(_extra(n), _needed(n, percent)))]]
 
 
-def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, last: np.ndarray) -> DataFrame:
+def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, order: Order) -> DataFrame:
     """For each document: its id, the size of its set, the set's signature and its first tokens.
 
     ``need``: how many of the first tokens a set shares at least with any that it links with.
     """
-    packed = np.packbits(last)
+    packed, levels = np.packbits(order.last), order.levels
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = np.unpackbits(packed).view(bool)
         for batch in slices(batches, "text"):
-            sets = _sets(batch.column("text"), size)
+            sets, ranks = _ranked_sets(Words(batch.column("text"), NOT_BLANK), size, levels)
             counts = np.fromiter(map(len, sets), np.int64, len(sets))
             flat = np.concatenate(sets)
             sums = [np.zeros(len(sets), np.uint64) for _ in range(2)]
@@ -129,7 +182,7 @@ def described(docs: DataFrame, doc_id: str, text: str, size: int, percent: int,
                 begins = (np.cumsum(counts) - counts)[full]
                 for total, salt in zip(sums, (MIXED_A, MIXED_B)):
                     total[full] = np.add.reduceat(mixed(flat ^ salt), begins)
-            first = [_first(tokens, late, percent).view(np.int64) for tokens in sets]
+            first = [_first(tokens, rank, late, percent).view(np.int64) for tokens, rank in zip(sets, ranks)]
             need = [_shared_by_all(n, percent) for n in counts.tolist()]
             yield pa.record_batch(
                 {
@@ -160,7 +213,7 @@ def token_sets(docs: DataFrame, doc_id: str, text: str, size: int, wanted: np.nd
             at = mixed(batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(len(marks) - 1)
             batch = batch.filter(pa.array(marks[at.astype(np.int64)]))
             if batch.num_rows:
-                sets = [tokens.view(np.int64) for tokens in _sets(batch.column("text"), size)]
+                sets = [tokens.view(np.int64) for tokens in _sets(Words(batch.column("text"), NOT_BLANK), size)]
                 yield pa.record_batch({"node": batch.column("id"), "tokens": pa.array(sets, pa.list_(pa.int64()))})
 
     chosen = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -330,13 +383,16 @@ def jaccard_components(
         raise ValueError("percent is from 1 to 100")
     # What the result is read from, and what goes once the components are written.
     work, inner = Workspace(docs.sparkSession), Workspace(docs.sparkSession)
-    last = frequent_tokens(docs, text, size)
-    rows = work.save(described(docs, doc_id, text, size, percent, last))
-    nodes = work.save(
-        rows.where("n > 0 and id is not null")
+    order = token_order(docs, text, size, inner)
+    whole = inner.save(described(docs, doc_id, text, size, percent, order))
+    rows = work.save(whole.select("id", "n", "sig1", "sig2"))
+    nodes = inner.save(
+        whole.where("n > 0 and id is not null")
         .groupBy("sig1", "sig2", "n", "need")
         .agg(F.min("id").alias("node"), F.first("first").alias("first"))
     )
+    named = work.save(nodes.select("sig1", "sig2", "node"))
+    inner.drop(whole)
     # Tokens among the first of two nodes or more. Counts are written before they are joined to what they
     # count, so that Spark splits the partitions of a token that very many nodes hold.
     held = nodes.select("node", F.explode("first").alias("token"))
@@ -347,14 +403,16 @@ def jaccard_components(
     )
     enough = found.join(nodes.select("node", "n", "need"), "node").where("common >= need").drop("common")
     enough = inner.save(enough)
-    sets = inner.save(token_sets(docs, doc_id, text, size, _marked_ids(enough, "node")))
-    bounded = inner.save(_bounded(enough, sets, percent))
-    inner.drop(enough, often)
+    inner.drop(nodes, often)
+    # Whole sets are large: those that only the bounds need are not written.
+    bounded = inner.save(_bounded(enough, token_sets(docs, doc_id, text, size, _marked_ids(enough, "node")), percent))
+    inner.drop(enough)
     keys = inner.save(_blocks(inner.save(_blocks(bounded, "key1", 1, inner)), "key2", 2, inner))
     # Joined in one way at every size of the table, not only from where the smaller side is too large to be broadcast.
     placed = keys.select("node", "block_key1", F.col("block_key2").alias("other")).hint("merge")
-    whole, sets = sets, inner.save(sets.join(placed, "node"))
-    inner.drop(whole, bounded)
+    sets = token_sets(docs, doc_id, text, size, _marked_ids(bounded, "node"))
+    sets = inner.save(sets.join(placed, "node"))
+    inner.drop(bounded)
     groups = inner.save(linked_blocks(sets, "block_key1", percent))
     leaders = groups.where("tokens is not null").select(F.col("a").alias("node"), "other", "tokens")
     second = inner.save(linked_blocks(leaders, "other", percent).select("a", "b"))
@@ -363,7 +421,7 @@ def jaccard_components(
     stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = work.save(components(stars.unionByName(_across(shared, keys, sets, linked, inner, percent)), inner))
     inner.drop_all()
-    by_set = nodes.join(final.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left").select(
+    by_set = named.join(final.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left").select(
         "sig1", "sig2", F.coalesce("component", "node").alias("component")
     )
     return rows.join(by_set, ["sig1", "sig2"], "left").select(

@@ -4,6 +4,7 @@ import re
 import pytest
 
 from finlake.llm import jaccard
+from finlake.llm.common import Workspace
 from finlake.llm.jaccard import jaccard_components
 
 
@@ -72,3 +73,25 @@ def test_edges(spark):
     got = sorted(map(str, (tuple(r) for r in jaccard_components(docs).collect())))
     assert got == sorted(map(str, [(3, 1, 3), (3, 1, 3), (None, 1, 3), (None, 1, None), (9, 1, 3), (4, 0, 4)]))
     assert jaccard_components(docs.limit(0)).collect() == []
+
+
+def test_unlike_texts_of_the_same_words_are_left_out_early(spark, monkeypatch):
+    rnd = random.Random(3)
+    common, other = [f"c{i}" for i in range(6)], [f"o{i}" for i in range(100)]
+    rows = [(i, [rnd.choice(common if rnd.random() < 0.7 else other) for _ in range(60)]) for i in range(400)]
+    rows += [(400 + i, rows[i][1][:-1] + ["changed"]) for i in range(10)]
+    rows = [(i, " ".join(words)) for i, words in rows]
+    save, met, whole = Workspace.save, [], []
+
+    def saved(self, df):
+        table = save(self, df)
+        if {"key1", "need"} <= set(df.columns):
+            met.append(table.count())
+        if "tokens" in df.columns:
+            whole.append(table.where("tokens is not null").count())
+        return table
+
+    monkeypatch.setattr(Workspace, "save", saved)
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["id"]: (r["n"], r["component"]) for r in found.collect()} == brute(rows, 3, 90)
+    assert 20 <= met[0] < 60 and max(whole) < 60

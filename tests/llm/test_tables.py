@@ -1,6 +1,8 @@
 """Intermediate tables, and hot keys that Spark can split."""
 
 import os
+import re
+import time
 from glob import glob
 
 import pytest
@@ -81,6 +83,23 @@ def test_workspaces_are_listed_and_dropped(spark):
     assert not os.path.exists(folder)
 
 
+def test_shuffle_files_go_with_the_table_that_is_written(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, disk = spark.conf.get(key), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" "))}
+
+    old, work = shuffled(), Workspace(spark)
+    table = work.save(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(100):
+        if shuffled() <= old:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= old and table.count() == 7 and spark.conf.get(key) == before
+    work.drop_all()
+
+
 def test_jaccard_leaves_only_what_its_result_reads(spark):
     docs = spark.createDataFrame([(i, f"one two three four five {i % 3}") for i in range(9)], "doc_id long, text string")
     with workspaces() as made:
